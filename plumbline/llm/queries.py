@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.columns import is_missing, trimmed
 from plumbline.llm.copies import canonical_key, copies, copy_pairs
+from plumbline.llm.survivor import CUT_MARKS, FURNITURE, STAND_INS, Bundle, Dependency, best_representative, well_formed_ids, with_group_facts
 from plumbline.llm.topn import latest_per_key, top_n_per_group
 from plumbline.sources.tables import table
 
@@ -75,12 +76,83 @@ WITH parts AS (
 )
 """
 
+def _noted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    used = ["canonical_paper_id", "record_id", "updated_at", "title", "doi", "openalex_id", "all_openalex_ids", "abstract", "publication_year", "merged_cited_by_count"]
+    records = table(spark, sf_dir, "scored_papers").select(*used)
+    return with_group_facts(records, "canonical_paper_id", "updated_at", "abstract", "title", "merged_cited_by_count")
+
+
+def _p1_bundles() -> list[Bundle]:
+    ids = F.size(well_formed_ids(F.col("all_openalex_ids")))
+    return [
+        Bundle("abstract", ("abstract",), F.col("whole")),
+        Bundle("merged_cited_by_count", ("merged_cited_by_count",), F.col("counted")),
+        Bundle("all_openalex_ids", ("all_openalex_ids",), ids > 0, quality=ids),
+    ]
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For papers with several records: the record that each of the three fields survives from."""
+    chosen = best_representative(_noted_records(spark, sf_dir), "canonical_paper_id", "record_id", "updated_at", _p1_bundles(), least_records=1)
+    return chosen.select("canonical_paper_id", F.col("bundle").alias("field_name"), "record_id")
+
+
+def p1_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As p1_found, with two further bundles that a dependency ties: a DOI fixes the year of publication.
+
+    The DOI counts twice as much as the year, so the year gives way where both cannot be had together.
+    """
+    bundles = [
+        *_p1_bundles(),
+        Bundle("doi", ("doi",), ~is_missing(F.col("doi")), weight=2),
+        Bundle("title_year", ("title", "publication_year"), ~is_missing(F.col("title")) & F.col("publication_year").between(1600, 2100)),
+    ]
+    chosen = best_representative(
+        _noted_records(spark, sf_dir), "canonical_paper_id", "record_id", "updated_at", bundles, [Dependency("doi", "publication_year")], least_records=1
+    )
+    return chosen.select("canonical_paper_id", F.col("bundle").alias("bundle_name"), "record_id")
+
+
+P1_SQL = r"""
+WITH noted AS (
+  SELECT *, count(*) OVER (PARTITION BY canonical_paper_id) AS n,
+    CASE WHEN abstract IS NULL OR lower(trim(regexp_replace(abstract, '[\s\p{Z}]+', '', 'g'))) IN ('', 'nan')
+           OR regexp_matches(abstract, '(?is)^[^\p{L}\p{N}]*(?:@STAND_INS@)[^\p{L}\p{N}]*$')
+           OR coalesce(trim(lower(regexp_replace(abstract, '[^\p{L}\p{N}]+', ' ', 'g'))) = trim(lower(regexp_replace(title, '[^\p{L}\p{N}]+', ' ', 'g'))), false)
+         THEN NULL
+         ELSE nullif(regexp_replace(regexp_replace(regexp_replace(regexp_replace(abstract, '</?[A-Za-z][^<>]*>', '', 'g'),
+           '(?i)(?:@FURNITURE@)[^.]*(?:\.|$)', '', 'g'), '@CUT_MARKS@', ''), '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g'), '') END AS bare,
+    coalesce(merged_cited_by_count >= 0 AND merged_cited_by_count NOT IN (2147483647, 4294967295, 9223372036854775807)
+      AND NOT regexp_matches(CAST(merged_cited_by_count AS VARCHAR), '^9{5,}$'), false) AS is_real,
+    len(list_distinct(regexp_extract_all(replace(replace(replace(coalesce(all_openalex_ids, ''), '","', '" "'), 'https://openalex.example/', ''), ',', ' '),
+      '(?:^|[\s;,|"\[])(W\d{11})\b', 1))) AS n_ids
+  FROM scored_papers WHERE canonical_paper_id IS NOT NULL
+), facts AS (
+  SELECT *, max((length(bare), bare)) FILTER (bare IS NOT NULL) OVER (PARTITION BY canonical_paper_id) AS longest,
+    min(updated_at) FILTER (is_real AND merged_cited_by_count > 0) OVER (PARTITION BY canonical_paper_id) AS above
+  FROM noted WHERE n >= 2
+), offers AS (
+  SELECT canonical_paper_id, 'abstract' AS field_name, record_id, updated_at, 0 AS quality FROM facts
+  WHERE bare IS NOT NULL AND regexp_replace(abstract, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') = longest[2] AND regexp_matches(longest[2], '[.!?]["'')\]\x{201d}\x{2019}]*$')
+  UNION ALL
+  SELECT canonical_paper_id, 'merged_cited_by_count', record_id, updated_at, 0 FROM facts
+  WHERE is_real AND NOT coalesce(merged_cited_by_count = 0 AND updated_at > above, false)
+  UNION ALL
+  SELECT canonical_paper_id, 'all_openalex_ids', record_id, updated_at, n_ids FROM facts WHERE n_ids > 0
+)
+SELECT canonical_paper_id, field_name, record_id FROM offers
+QUALIFY row_number() OVER (PARTITION BY canonical_paper_id, field_name ORDER BY quality DESC, updated_at DESC, record_id) = 1
+""".replace("@STAND_INS@", STAND_INS).replace("@FURNITURE@", "|".join(FURNITURE)).replace("@CUT_MARKS@", CUT_MARKS)
+
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_bundles": p1_bundles,
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_copies": p4_copies,
 }
 ORACLE = {
+    "p1_found": P1_SQL,
     "p3_found": P3_SQL,
     "p4_found": _P4_KEYS + "SELECT head AS ord_a, _ord AS ord_b FROM grouped WHERE head <> _ord",
     "p4_copies": _P4_KEYS + "SELECT head AS representative, count(*) AS copies FROM grouped GROUP BY head",
