@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.columns import is_missing, trimmed
 from plumbline.llm.copies import canonical_key, copies, copy_pairs
+from plumbline.llm.leak import find_leaks
 from plumbline.llm.survivor import CUT_MARKS, FURNITURE, STAND_INS, Bundle, Dependency, best_representative, well_formed_ids, with_group_facts
 from plumbline.llm.topn import latest_per_key, top_n_per_group
 from plumbline.sources.tables import table
@@ -144,7 +145,19 @@ SELECT canonical_paper_id, field_name, record_id FROM offers
 QUALIFY row_number() OVER (PARTITION BY canonical_paper_id, field_name ORDER BY quality DESC, updated_at DESC, record_id) = 1
 """.replace("@STAND_INS@", STAND_INS).replace("@FURNITURE@", "|".join(FURNITURE)).replace("@CUT_MARKS@", CUT_MARKS)
 
+def p7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of evaluation items, with the number of shared runs of eight words."""
+    return find_leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "item_text")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the evaluation items that leaked into them."""
+    return p7_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
 QUERIES = {
+    "p7_found": p7_found,
+    "p7_leaks": p7_leaks,
     "p1_found": p1_found,
     "p1_bundles": p1_bundles,
     "p3_found": p3_found,
