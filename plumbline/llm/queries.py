@@ -8,12 +8,20 @@ from pyspark.sql import functions as F
 from plumbline.functions.columns import is_missing, trimmed
 from plumbline.llm.copies import canonical_key, copies, copy_pairs
 from plumbline.llm.leak import find_leaks
+from plumbline.llm.names import link_tables, seed_names
 from plumbline.llm.near import NearParams, NearResult, near_documents, near_duplicates, near_pairs, word_count_at_least
 from plumbline.llm.survivor import CUT_MARKS, FURNITURE, STAND_INS, Bundle, Dependency, best_representative, well_formed_ids, with_group_facts
 from plumbline.llm.topn import latest_per_key, top_n_per_group
 from plumbline.sources.tables import table
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every typed author name that means an entry of the registry."""
+    papers = table(spark, sf_dir, "candidate_papers").select(F.col("_ord").cast("string").alias("record_key"), F.lit(1).alias("pos"), F.col("first_author").alias("name"))
+    parts = [("candidate_papers", papers), ("core_seeds", seed_names(table(spark, sf_dir, "core_seeds"), "corpus_id", "authors"))]
+    return link_tables(spark, parts, table(spark, sf_dir, "canonical_authors"), "canonical_author_id", "display_name")
+
+
 def _ranked_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = latest_per_key(
         table(spark, sf_dir, "core_corpus_tracked"), "canonical_paper_id", "scored_at", "row_id",
@@ -183,6 +191,7 @@ QUERIES = {
     "p7_leaks": p7_leaks,
     "p1_found": p1_found,
     "p1_bundles": p1_bundles,
+    "p2_found": p2_found,
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_copies": p4_copies,
