@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.columns import is_missing, trimmed
 from plumbline.llm.copies import canonical_key, copies, copy_pairs
 from plumbline.llm.leak import find_leaks
+from plumbline.llm.mixing import Mix, mix_sources, token_counts
 from plumbline.llm.names import link_tables, seed_names
 from plumbline.llm.near import NearParams, NearResult, near_documents, near_duplicates, near_pairs, word_count_at_least
 from plumbline.llm.survivor import CUT_MARKS, FURNITURE, STAND_INS, Bundle, Dependency, best_representative, well_formed_ids, with_group_facts
@@ -184,11 +185,28 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_leaks(spark, sf_dir).select("doc_id", "item_id")
 
 
+def _mix(spark: SparkSession, sf_dir: str) -> Mix:
+    sizes = token_counts(table(spark, sf_dir, "documents"), "doc_id", "source", "text")
+    return mix_sources(sizes, table(spark, sf_dir, "mix_targets"))
+
+
+def p8_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixes: every use of a document with the slot that it has."""
+    return _mix(spark, sf_dir).schedule
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actual shares beside the targets, and the repeats used."""
+    return _mix(spark, sf_dir).shares
+
+
 QUERIES = {
     "p6_found": p6_found,
     "p6_documents": p6_documents,
     "p7_found": p7_found,
     "p7_leaks": p7_leaks,
+    "p8_schedule": p8_schedule,
+    "p8_shares": p8_shares,
     "p1_found": p1_found,
     "p1_bundles": p1_bundles,
     "p2_found": p2_found,
