@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import is_missing, trimmed
+from plumbline.llm.abuse import rates, score_documents
 from plumbline.llm.copies import canonical_key, copies, copy_pairs
 from plumbline.llm.leak import find_leaks
 from plumbline.llm.mixing import Mix, mix_sources, token_counts
@@ -200,6 +201,21 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mix(spark, sf_dir).shares
 
 
+def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its language, its score for abusive, hateful or sexual content, and whether it is flagged."""
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "content_labels"), "doc_id", "text", "lang", "source", "objectionable")
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that are flagged."""
+    return p9_scores(spark, sf_dir).where("flagged").select("doc_id")
+
+
+def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rate of flagged documents per source."""
+    return rates(p9_scores(spark, sf_dir))
+
+
 QUERIES = {
     "p6_found": p6_found,
     "p6_documents": p6_documents,
@@ -207,6 +223,9 @@ QUERIES = {
     "p7_leaks": p7_leaks,
     "p8_schedule": p8_schedule,
     "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_scores": p9_scores,
+    "p9_rates": p9_rates,
     "p1_found": p1_found,
     "p1_bundles": p1_bundles,
     "p2_found": p2_found,
