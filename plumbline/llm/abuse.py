@@ -370,7 +370,7 @@ def score_documents(documents: DataFrame, labels: DataFrame, doc_id: str, text:
             has = np.array([bool(t) for t in texts])
             scores = np.where(has, model.scores(texts), 0.0) if model else np.zeros(len(texts))
             flags = has & model.flagged(scores, langs) if model else np.zeros(len(texts), bool)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), pa.array(langs), pa.array(np.round(scores, 6)), pa.array(flags)], ["doc_id", "source", "language", "score", "flagged"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), pa.array(langs), pa.array(np.round(scores.astype(np.float64), 6)), pa.array(flags)], ["doc_id", "source", "language", "score", "flagged"])
 
     rows = documents.select(col(doc_id).cast("bigint").alias("doc_id"), present(col(text)).alias("text"), col(lang).cast("string").alias("lang"), F.lower(trimmed(present(col(source)))).alias("source"))
     return rows.mapInArrow(run, "doc_id bigint, source string, language string, score double, flagged boolean")
