@@ -143,7 +143,7 @@ def mix_sources(sizes: DataFrame, targets: DataFrame, block_tokens: int = 4096,
     wanted = [
         (r[0], r[1], float(r[2]), int(r[3]))
         for r in targets.select("mix_name", F.lower(trimmed(F.col("source"))), "target_share", "max_repeats").collect()
-        if None not in r and r[2] > 0 and r[3] > 0
+        if None not in tuple(r) and r[2] > 0 and r[3] > 0
     ]
     names = sorted({t[1] for t in wanted})
     used = cut(sizes.where(F.col("source").isin(names)))  # sized once, read by several steps
