@@ -26,7 +26,8 @@ def candidate_links(df: DataFrame, threshold: float = 85.0, max_year_delta: int
     same = base.where("doi is not null").select(F.min("ord").over(w).alias("i"), F.col("ord").alias("j"), F.lit(True).alias("by_doi")).where("i <> j")
     long = base.where((F.size(F.split("title", " ")) >= least_words) & F.col("author").isNotNull())
     reps = long.groupBy("author", "title", "year").agg(F.min("ord").alias("ord"))
-    exact = long.join(reps.withColumnRenamed("ord", "i"), ["author", "title"]).where(_years_ok(long["year"], reps["year"], max_year_delta)).select("i", F.col("ord").alias("j")).where("i < j")
+    heads = reps.select("author", "title", F.col("year").alias("head_year"), F.col("ord").alias("i"))
+    exact = long.join(heads, ["author", "title"]).where(_years_ok(F.col("year"), F.col("head_year"), max_year_delta)).select("i", F.col("ord").alias("j")).where("i < j")
     # two titles at this similarity differ in length by a bounded factor
     a, b = reps.alias("a"), reps.alias("b")
     ratio = threshold / (200 - threshold)
