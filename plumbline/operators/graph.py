@@ -237,4 +237,4 @@ def golden_positions(df: DataFrame, group: str, order: Column) -> DataFrame:
     """GRA-22: a place on a golden-angle spiral for every row of a group."""
     k = F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1
     angle = k * F.lit(2.399963229728653)
-    return df.withColumn("x", F.round(F.sqrt(k.cast("double")) * F.cos(angle), 6)).withColumn("y", F.round(F.sqrt(k.cast("double")) * F.sin(angle), 6))
+    return df.withColumn("x", F.sqrt(k.cast("double")) * F.cos(angle)).withColumn("y", F.sqrt(k.cast("double")) * F.sin(angle))

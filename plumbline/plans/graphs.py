@@ -116,7 +116,7 @@ def gra_20_parents(spark, d):
 
 def gra_22_positions(spark, d):
     """GRA-21, GRA-22, GRA-23: positions within groups."""
-    return G.golden_positions(table(spark, d, "customer").select("c_custkey", "c_nationkey"), "c_nationkey", F.col("c_custkey")).select("c_custkey", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"))
+    return G.golden_positions(table(spark, d, "customer").select("c_custkey", "c_nationkey"), "c_nationkey", F.col("c_custkey")).select("c_custkey", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
 
 
 def gra_26_property_graph(spark, d):
@@ -178,7 +178,7 @@ ORACLE = {
     "gra_17_shared_with_seeds": f"WITH {_E}, {_U}, {_S}, a AS (SELECT s.id AS seed, dst FROM u JOIN s ON src = s.id) SELECT u.src AS id, count(DISTINCT seed) AS seeds FROM a JOIN u USING (dst) WHERE u.src <> seed GROUP BY 1",
     "gra_18_related": f"WITH {_E}, {_U}, {_S}, o AS (SELECT s.id, dst AS mid FROM u JOIN s ON src = s.id) SELECT o.id, u.dst AS related, count(*) AS ways FROM o JOIN u ON u.src = mid WHERE u.dst <> o.id AND (o.id, u.dst) NOT IN (SELECT id, mid FROM o) GROUP BY ALL HAVING count(*) >= 3",
     "gra_20_parents": f"WITH {_E}, i AS (SELECT dst, count(*) AS n FROM e GROUP BY dst) SELECT src AS id, dst AS parent FROM e JOIN i USING (dst) QUALIFY row_number() OVER (PARTITION BY src ORDER BY n DESC, dst) = 1",
-    "gra_22_positions": "WITH k AS (SELECT c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS k FROM customer) SELECT c_custkey, round(round(sqrt(k) * cos(k * 2.399963229728653::DOUBLE), 6), 5) AS x, round(round(sqrt(k) * sin(k * 2.399963229728653::DOUBLE), 6), 5) AS y FROM k",
+    "gra_22_positions": "WITH k AS (SELECT c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS k FROM customer) SELECT c_custkey, round(sqrt(k) * cos(k * 2.399963229728653::DOUBLE), 4) AS x, round(sqrt(k) * sin(k * 2.399963229728653::DOUBLE), 4) AS y FROM k",
     "gra_26_property_graph": "SELECT 'n:' || n_nationkey AS src, 'n:' || n_regionkey AS dst, 'IN_REGION' AS kind FROM nation UNION SELECT 's:' || s_suppkey, 's:' || s_nationkey, 'FROM' FROM supplier UNION SELECT 'c:' || c_custkey, 'c:' || c_nationkey, 'FROM' FROM customer",
     "agg_30_density": f"WITH {_E}, m AS (SELECT p_brand AS grp, count(*) AS members FROM part GROUP BY 1), k AS (SELECT a.p_brand AS grp, count(*) AS links FROM e JOIN part a ON src = a.p_partkey JOIN part b ON dst = b.p_partkey WHERE a.p_brand = b.p_brand GROUP BY 1) SELECT grp, members, coalesce(links, 0) AS links, round(CASE WHEN members > 1 THEN coalesce(links, 0) / (members * (members - 1)) ELSE 0 END, 6) AS density FROM m LEFT JOIN k USING (grp)",
 }
