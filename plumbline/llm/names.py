@@ -108,13 +108,17 @@ _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*\.?")
 _LETTERS = str.maketrans({"ø": "o", "Ø": "O", "đ": "d", "ł": "l", "ß": "ss", "æ": "a", "œ": "o", "ð": "d", "þ": "th", "ı": "i"})
 
 
+def unaccented(text: str) -> str:
+    """Lower case without accents."""
+    return "".join(c for c in unicodedata.normalize("NFD", text.lower().translate(_LETTERS)) if not unicodedata.combining(c))
+
+
 def folded(text: str) -> str:
     """Lower case without accents; ae, oe and ue as typed for them count as a, o and u."""
-    plain = "".join(c for c in unicodedata.normalize("NFD", text.lower().translate(_LETTERS)) if not unicodedata.combining(c))
-    return re.sub(r"([aou])e", r"\1", plain)
+    return re.sub(r"([aou])e", r"\1", unaccented(text))
 
 
-_SHORT = {folded(full): tuple(map(folded, forms.split())) for full, forms in SHORT_FORMS.items()}
+_SHORT = {full: tuple(forms.split()) for full, forms in SHORT_FORMS.items()}
 _FULL = {x: frozenset(full for full, forms in _SHORT.items() if x in forms) for forms in _SHORT.values() for x in forms}
 
 
@@ -166,17 +170,21 @@ def readings(name: str) -> list[tuple[str, str, list[str], bool]]:
     if sum(w in GROUP_WORDS for w in expanded) >= 2:
         return [("group", "".join(sorted(w for w in expanded if w not in GROUP_NOISE)), [], False)]
 
+    head, comma, tail = s.partition(",")
+
     def tokens(part: str) -> tuple[list[str], bool]:
         found = []
         particle = False
-        for raw in part.split():
-            t = raw.strip(",*†‡§0123456789")
-            if not t or not any(ch.isalpha() for ch in t):
-                continue
+        bare = (raw.strip(",*†‡§0123456789") for raw in part.split())
+        plain = [t for t in bare if any(ch.isalpha() for ch in t)]
+        shouting = any(len(t) > 3 and t.isupper() for t in plain)
+        for i, t in enumerate(plain):
             low = folded(t.rstrip("."))
-            if low in TITLES and not (len(low) == 2 and t.isupper() and low not in ("md", "jr", "sr", "dr")):
+            # two or three capitals at the end are initials, even if they spell a particle or, after one word, a title
+            capitals = t.isupper() and 1 < len(t) < 4 and i == len(plain) - 1 and not shouting
+            if low in TITLES and not (capitals and (low not in ("md", "jr", "sr", "dr", "phd") or (len(plain) == 2 and not comma and len(t) == 2))):
                 continue
-            if low in PARTICLES:
+            if low in PARTICLES and not capitals:
                 particle = True
                 continue
             found.append(t)
@@ -194,14 +202,13 @@ def readings(name: str) -> list[tuple[str, str, list[str], bool]]:
                 if not bare:
                     continue
                 if len(bare) <= 3 and bare.isupper() and len(bare) > 1:
-                    out += [folded(ch) for ch in bare]
+                    out += [unaccented(ch) for ch in bare]
                 elif len(bare) == 1:
-                    out.append(folded(bare))
+                    out.append(unaccented(bare))
                 else:
-                    out.append(folded(bare) + ("." if b.endswith(".") else ""))
+                    out.append(unaccented(bare) + ("." if b.endswith(".") else ""))
         return out
 
-    head, comma, tail = s.partition(",")
     if comma:
         tail = tail.replace(",", " ")
         a, pa_ = tokens(head)
@@ -259,7 +266,9 @@ def _token_cost(typed: str, full: str) -> int | None:
     if bare in _SHORT or bare in _FULL:
         return None  # a name of its own, no typing error
     if typed.endswith("."):
-        return 3 if any(len(f) > len(bare) and _one_typo(bare, f[: len(bare)]) for f in forms[:1]) and len(bare) > 2 else None
+        if len(bare) < 3 or any(f.startswith(bare) for f in (*_SHORT, *_FULL)):
+            return None  # cut from another name
+        return 3 if bare[0] == full[0] and any(edit_distance(bare, full[:k]) <= 1 for k in (len(bare) - 1, len(bare), len(bare) + 1)) else None
     return 3 if any(len(f) > 3 and _one_typo(bare, f) for f in forms) else None
 
 
