@@ -41,30 +41,46 @@ def _years_ok(a: Column, b: Column, delta: int) -> Column:
     return a.isNull() | b.isNull() | (F.abs(a - b) <= delta)
 
 
-def pivot_clusters(links: DataFrame, ids: DataFrame) -> DataFrame:
+def pivot_clusters(links: DataFrame, ids: DataFrame, rounds: int = 24) -> DataFrame:
     """DED-02: in order, every record not yet taken is a pivot that takes all later records linked to it.
 
-    Only records of one connected component can touch each other, so each component is worked through by itself.
-    ``ids``: ord. Result: ord, pivot.
+    ``ids``: ord. Result: ord, pivot. Worked out in rounds over all records at once: a record without an undecided
+    earlier neighbour is a pivot, and takes its later neighbours; what is decided leaves the links. A group of any size
+    around one record is done in one round. What chains of links are left after ``rounds``, each far longer than that,
+    are worked through one connected component at a time.
     """
-    linked = cut(links)
-    comp = components(linked.select(F.col("i").alias("src"), F.col("j").alias("dst")))
-    work = linked.join(comp, F.col("i") == F.col("id")).select("component", "i", "j")
-
-    def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
-        later: dict[int, list[int]] = {}
-        for i, j in zip(pdf["i"], pdf["j"]):
-            later.setdefault(int(i), []).append(int(j))
-        pivot: dict[int, int] = {}
-        for i in sorted({*later, *(j for js in later.values() for j in js)}):
-            if i not in pivot:
-                pivot[i] = i
-                for j in later.get(i, ()):
-                    pivot.setdefault(j, i)
-        return pd.DataFrame({"ord": list(pivot), "pivot": list(pivot.values())}, dtype="int64")
-
-    taken = work.groupBy("component").applyInPandas(resolve, "ord bigint, pivot bigint")
-    return ids.select("ord").join(taken, "ord", "left").select("ord", F.coalesce("pivot", "ord").alias("pivot"))
+    whole = left = cut(links.select("i", "j"))
+    taken = None  # records that are no pivots
+    for _ in range(rounds):
+        if left.isEmpty():
+            break
+        pivots = left.select(F.col("i").alias("ord")).distinct().join(left.select(F.col("j").alias("ord")), "ord", "left_anti")
+        got = cut(left.join(pivots.withColumnRenamed("ord", "i"), "i", "left_semi").select(F.col("j").alias("ord")).distinct())
+        taken = got if taken is None else taken.unionByName(got)
+        gone = got.unionByName(pivots)
+        left = cut(left.join(gone.withColumnRenamed("ord", "i"), "i", "left_anti").join(gone.withColumnRenamed("ord", "j"), "j", "left_anti").select("i", "j"))
+    if taken is None:
+        return ids.select("ord", F.col("ord").alias("pivot"))
+    if not left.isEmpty():
+        comp = components(left.select(F.col("i").alias("src"), F.col("j").alias("dst")))
+        work = left.join(comp, F.col("i") == F.col("id")).select("component", "i", "j")
+        taken = taken.unionByName(work.groupBy("component").applyInPandas(_in_order, "ord bigint, pivot bigint").where("ord <> pivot").select("ord"))
+    # a record belongs to the first pivot that it is linked to
+    heads = whole.join(taken.withColumnRenamed("ord", "i"), "i", "left_anti").groupBy(F.col("j").alias("ord")).agg(F.min("i").alias("pivot"))
+    return ids.select("ord").join(heads, "ord", "left").select("ord", F.coalesce("pivot", "ord").alias("pivot"))
+
+
+def _in_order(pdf: pd.DataFrame) -> pd.DataFrame:
+    later: dict[int, list[int]] = {}
+    for i, j in zip(pdf["i"], pdf["j"]):
+        later.setdefault(int(i), []).append(int(j))
+    pivot: dict[int, int] = {}
+    for i in sorted({*later, *(j for js in later.values() for j in js)}):
+        if i not in pivot:
+            pivot[i] = i
+            for j in later.get(i, ()):
+                pivot.setdefault(j, i)
+    return pd.DataFrame({"ord": list(pivot), "pivot": list(pivot.values())}, dtype="int64")
 
 
 def canonical_id(doi: Column, title: Column, year: Column) -> Column:

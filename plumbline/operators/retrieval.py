@@ -24,9 +24,9 @@ def tfidf_scores(post: DataFrame, queries: DataFrame, docs: int) -> DataFrame:
     ``queries``: query, token, qtf. Only the postings of query tokens are touched, and their weights are one small
     join; scores are partial sums.
     """
-    wanted = post.join(F.broadcast(queries.select("token").distinct()), "token", "left_semi")
+    wanted = post.join(queries.select("token").distinct(), "token", "left_semi")
     weight = queries.join(idf(wanted, docs), "token").select("query", "token", ((1 + F.log(F.col("qtf").cast("double"))) * F.col("idf")).alias("w"))
-    hits = wanted.join(F.broadcast(weight), "token")
+    hits = wanted.join(weight, "token")
     return hits.groupBy("query", "doc").agg(F.sum(F.col("w") * (1 + F.log(F.col("tf").cast("double")))).alias("score"))
 
 

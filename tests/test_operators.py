@@ -72,6 +72,23 @@ def test_pivot_clusters_are_not_transitive(spark):
     assert {r.ord: r.pivot for r in D.pivot_clusters(links, ids).collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 6}
 
 
+@pytest.mark.parametrize("seed", [4, 5, 6])
+def test_pivot_clusters_against_a_scan(spark, seed):
+    rng = random.Random(seed)
+    pairs = sorted({tuple(sorted((rng.randrange(60), rng.randrange(60)))) for _ in range(110)} - {(i, i) for i in range(60)})
+    want = {}
+    for i in range(60):
+        if i not in want:
+            want[i] = i
+            for a, b in pairs:
+                if a == i:
+                    want.setdefault(b, i)
+    links, ids = spark.createDataFrame(pairs, "i long, j long"), spark.createDataFrame([(i,) for i in range(60)], "ord long")
+    assert {r.ord: r.pivot for r in D.pivot_clusters(links, ids).collect()} == want
+    assert {r.ord: r.pivot for r in D.pivot_clusters(links, ids, rounds=1).collect()} == want
+    assert {r.ord: r.pivot for r in D.pivot_clusters(links.limit(0), ids).collect()} == {i: i for i in range(60)}
+
+
 def test_dedupe_guards(spark):
     rows = [
         (1, "10.1/a", "Short", 2010, "Ann"), (2, "10.1/A", "Other", 2018, "Bob"),  # same DOI always
