@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.leak import ItemIndex, find_leaks
 from plumbline.llm.near import NearParams, RunWeights, near_documents, near_duplicates, near_pairs, sampling_tables, signatures
+from plumbline.llm.queries import P6_PARAMS
 from plumbline.llm.words import words
 
 
@@ -56,6 +57,28 @@ def test_large_buckets_lose_no_pair(spark):
     assert near_pairs(near_duplicates(df.limit(0), "id", F.col("text"), p)).count() == 0
 
 
+def test_edits_of_a_third_of_the_texts_are_found(spark):
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    base = [word() for _ in range(99)]
+    rows = []
+    for i in range(180):
+        if i % 3:
+            t = [word() for _ in range(99)]
+        else:
+            t = list(base)
+            for at in rng.sample(range(2, 97, 3), 4):
+                t[at] = word()
+        rows.append((i, " ".join(t)))
+    sets = {i: _sets(t, 3) for i, t in rows}
+    share = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b}
+    want = {ab for ab, s in share.items() if s >= 0.58}
+    assert len(want) == 60 * 59 // 2 and min(share[ab] for ab in want) < 0.65
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    got = {(r.ord_a, r.ord_b) for r in near_pairs(near_duplicates(df, "id", F.col("text"), P6_PARAMS)).collect()}
+    assert got <= {ab for ab, s in share.items() if s >= 0.5} and len(got & want) >= 0.98 * len(want)
+
+
 def test_samples_agree_as_weighted_jaccard_says():
     p = NearParams(bands=200, rows=5)
     rng = np.random.default_rng(1)
