@@ -12,29 +12,68 @@ from plumbline.session import cut
 
 
 def candidate_links(df: DataFrame, threshold: float = 85.0, max_year_delta: int = 2, least_words: int = 4, bucket: int = 500) -> DataFrame:
-    """DED-01, DED-03: links ``i < j`` between records of one block that match.
+    """DED-01, DED-03: all links ``i < j`` between records of one block that match.
 
-    ``df``: ord, doi, title, year, author. Same DOI always matches (blocks of equal DOIs are linked to their first
-    record, as are records with the same author and normalised title: that is enough, as equals have the same links).
-    Fuzzy matches compare distinct (author, title) representatives of an author's block. Years may be missing.
+    ``df``: ord, doi, title, year, author. Same DOI always matches. Fuzzy matches compare distinct (author, title, year)
+    within an author's block. Years may be missing. Every pair of a block stands in the result; ``resolve_records`` gets
+    the same clusters without the pairs.
+    """
+    records, kin = _blocks(df, threshold, max_year_delta, least_words)
+    i, j = (records.select(F.col("ord").alias(x), F.col("doi").alias(f"doi_{x}"), F.col("rep").alias(f"rep_{x}")) for x in "ij")
+    same = i.join(j, F.col("doi_i") == F.col("doi_j")).select("i", "j")
+    alike = i.join(kin, F.col("rep_i") == F.col("rep")).join(j, F.col("other") == F.col("rep_j")).select("i", "j")
+    return same.unionByName(alike).where("i < j").distinct()
+
+
+def _blocks(df: DataFrame, threshold: float, max_year_delta: int, least_words: int) -> tuple[DataFrame, DataFrame]:
+    """``ord, doi, rep`` of all records, and ``rep, other`` both ways for what matches without a DOI.
+
+    ``rep`` is the first record with the same (author, title, year), and NULL where these cannot match.
     """
     base = df.select(
         "ord", F.nullif(F.lower(F.trim("doi")), F.lit("")).alias("doi"), normalize_title(F.col("title")).alias("title"), "year", F.nullif(normalize_name(F.col("author")), F.lit("")).alias("author")
     )
     base = cut(base)
-    w = Window.partitionBy("doi")
-    same = base.where("doi is not null").select(F.min("ord").over(w).alias("i"), F.col("ord").alias("j"), F.lit(True).alias("by_doi")).where("i <> j")
     long = base.where((F.size(F.split("title", " ")) >= least_words) & F.col("author").isNotNull())
-    reps = long.groupBy("author", "title", "year").agg(F.min("ord").alias("ord"))
-    heads = reps.select("author", "title", F.col("year").alias("head_year"), F.col("ord").alias("i"))
-    exact = long.join(heads, ["author", "title"]).where(_years_ok(F.col("year"), F.col("head_year"), max_year_delta)).select("i", F.col("ord").alias("j")).where("i < j")
-    # two titles at this similarity differ in length by a bounded factor
+    reps = cut(long.groupBy("author", "title", "year").agg(F.min("ord").alias("rep")))
+    of = long.alias("l").join(reps.alias("r"), (F.col("l.author") == F.col("r.author")) & (F.col("l.title") == F.col("r.title")) & F.col("l.year").eqNullSafe(F.col("r.year"))).select("ord", "rep")
     a, b = reps.alias("a"), reps.alias("b")
+    years = _years_ok(F.col("a.year"), F.col("b.year"), max_year_delta)
+    both = [F.col("a.rep").alias("rep"), F.col("b.rep").alias("other")]
+    exact = a.join(b, (F.col("a.author") == F.col("b.author")) & (F.col("a.title") == F.col("b.title"))).where(years).select(*both)
+    # two titles at this similarity differ in length by a bounded factor
     ratio = threshold / (200 - threshold)
-    near = a.join(b, (F.col("a.author") == F.col("b.author")) & (F.col("a.ord") < F.col("b.ord")) & (F.length("a.title") >= ratio * F.length("b.title")) & (F.length("b.title") >= ratio * F.length("a.title")))
-    near = near.where(_years_ok(F.col("a.year"), F.col("b.year"), max_year_delta))
-    fuzzy = near.where(token_sort_ratio(F.col("a.title"), F.col("b.title")) >= threshold).select(F.col("a.ord").alias("i"), F.col("b.ord").alias("j"))
-    return same.select("i", "j").unionByName(exact).unionByName(fuzzy).distinct()
+    near = a.join(b, (F.col("a.author") == F.col("b.author")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.title") != F.col("b.title")) & (F.length("a.title") >= ratio * F.length("b.title")) & (F.length("b.title") >= ratio * F.length("a.title")))
+    fuzzy = cut(near.where(years).where(token_sort_ratio(F.col("a.title"), F.col("b.title")) >= threshold).select(*both))
+    kin = exact.unionByName(fuzzy).unionByName(fuzzy.select(F.col("other").alias("rep"), F.col("rep").alias("other")))
+    return cut(base.select("ord", "doi").join(of, "ord", "left")), cut(kin)
+
+
+def _first_near(records: DataFrame, members: DataFrame, kin: DataFrame) -> DataFrame:
+    """``ord, doi, rep`` and the smallest of ``members`` in a record's blocks or itself, ``near``; NULL if there is none."""
+    by_doi = members.where("doi is not null").groupBy("doi").agg(F.min("ord").alias("m"))
+    by_rep = members.where("rep is not null").groupBy(F.col("rep").alias("other")).agg(F.min("ord").alias("n"))
+    by_kin = kin.join(by_rep, "other").groupBy("rep").agg(F.min("n").alias("n"))
+    return records.join(by_doi, "doi", "left").join(by_kin, "rep", "left").select("ord", "doi", "rep", F.least("m", "n").alias("near"))
+
+
+def resolve_records(df: DataFrame, threshold: float = 85.0, max_year_delta: int = 2, least_words: int = 4) -> DataFrame:
+    """DED-01 to DED-03: ``ord, pivot`` as ``pivot_clusters`` gives over all ``candidate_links``.
+
+    Worked out in rounds over blocks, so the records of a block are never paired: an undecided record that is the first
+    one of its DOI and of all it matches is a pivot, and all undecided records near it are taken. Each round decides at
+    least the first record left; rounds go on until none is left.
+    """
+    records, kin = _blocks(df, threshold, max_year_delta, least_words)
+    left, pivots = records.where("doi is not null or rep is not null"), None
+    while not left.isEmpty():
+        new = cut(_first_near(left, left, kin).where("ord = near").select("ord", "doi", "rep"))
+        pivots = new if pivots is None else pivots.unionByName(new)
+        left = cut(_first_near(left, new, kin).where("near is null").select("ord", "doi", "rep"))
+    if pivots is None:
+        return records.select("ord", F.col("ord").alias("pivot"))
+    # a record belongs to the first pivot that it is linked to
+    return _first_near(records, pivots, kin).select("ord", F.coalesce("near", "ord").alias("pivot"))
 
 
 def _years_ok(a: Column, b: Column, delta: int) -> Column:

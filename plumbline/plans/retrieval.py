@@ -21,13 +21,13 @@ def _records(spark, d):
 def ded_02_clusters(spark, d):
     """DED-01 to DED-03: pivot clusters of fetched works."""
     r = _records(spark, d)
-    return D.pivot_clusters(D.candidate_links(r), r)
+    return D.resolve_records(r)
 
 
 def ded_04_survivors(spark, d):
     """DED-04, DED-05: one row for each cluster, attributes merged over its versions."""
     r = _records(spark, d)
-    c = D.pivot_clusters(D.candidate_links(r), r)
+    c = D.resolve_records(r)
     rows = r.join(c, "ord")
     rep = F.min_by(F.struct("doi", "title", "year"), F.struct(-F.coalesce("cited_by_count", F.lit(0)), F.col("ord")))
     merged = rows.groupBy("pivot").agg(rep.alias("rep"), F.count(F.lit(1)).alias("versions"), F.sum(F.coalesce("cited_by_count", F.lit(0))).alias("cited"), F.array_join(F.array_sort(F.collect_set("channel")), ";").alias("channels"))

@@ -101,6 +101,33 @@ def test_dedupe_guards(spark):
     assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 5, 7: 7, 8: 8, 9: 9}
 
 
+def test_dedupe_against_a_scan_of_records(spark):
+    rng = random.Random(9)
+    words = "alpha beta gamma delta epsilon zeta eta theta".split()
+    title = lambda: " ".join(words[:6] + [rng.choice(words)] if rng.random() < 0.7 else rng.sample(words, rng.choice([3, 5])))
+    rows = [(1, None, "the same long title", 2010, "P"), (2, "10.1/d", "the same long title", 2010, "P"), (3, "10.1/d", "quite another long one", 2010, "Q"), (4, "10.1/d", "a third and longer one", 2010, "R")]
+    rows += [(i, rng.choice([None, "", *[f"10.1/{k}" for k in range(12)]]), title(), rng.choice([None, 2010, 2012, 2013, 2016]), rng.choice(["Ann", "Bob", "Cy", None])) for i in range(5, 90)]
+
+    def match(a, b):
+        if a[1] and a[1] == b[1]:
+            return True
+        if not a[4] or a[4] != b[4] or min(len(a[2].split()), len(b[2].split())) < 4:
+            return False
+        return (a[3] is None or b[3] is None or abs(a[3] - b[3]) <= 2) and T.token_sort(a[2], b[2]) >= 85
+
+    want = {}
+    for a in rows:
+        if a[0] not in want:
+            for b in rows:
+                if b[0] == a[0] or b[0] > a[0] and b[0] not in want and match(a, b):
+                    want[b[0]] = a[0]
+    df = spark.createDataFrame(rows, "ord long, doi string, title string, year int, author string")
+    assert {r.ord: r.pivot for r in D.pivot_clusters(D.candidate_links(df), df).collect()} == want
+    assert {r.ord: r.pivot for r in D.resolve_records(df).collect()} == want
+    assert (want[2], want[3], want[4]) == (1, 3, 3)
+    assert D.resolve_records(df.limit(0)).count() == 0
+
+
 def test_sources(spark, tmp_path):
     work = {"id": "https://r.example/W1", "title": "T", "publication_year": 2020, "authorships": [{"author": {"display_name": "Ann"}}], "concepts": [{"display_name": "c1"}, {"display_name": "c2"}]}
     (tmp_path / "a.json").write_text(json.dumps(work))
