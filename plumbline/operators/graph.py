@@ -6,6 +6,8 @@ counted condition; nothing but single numbers reaches the driver.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,15 +70,15 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, max_iter: int = 100, tol: fl
     return ranks.select("id", "rank")
 
 
-def frontier(edges: DataFrame, seeds: DataFrame, max_depth: int, label: str = "label") -> DataFrame:
-    """GRA-07, GRA-12, GRA-13: least distance from each label's seeds: ``label, id, dist`` up to ``max_depth``.
+def frontier(edges: DataFrame, seeds: DataFrame, max_depth: int | None, label: str = "label") -> DataFrame:
+    """GRA-07, GRA-12, GRA-13: least distance from each label's seeds: ``label, id, dist`` up to ``max_depth`` (None: until empty).
 
     ``seeds``: label, id. All labels advance together. Each round joins only the last front and takes out what was
     reached before.
     """
     reached = cut(seeds.select(F.col(label).alias("label"), "id").where("label is not null and id is not null").distinct().withColumn("dist", F.lit(0)))
     front = reached
-    for d in range(1, max_depth + 1):
+    for d in count(1) if max_depth is None else range(1, max_depth + 1):
         step = front.join(edges, F.col("id") == F.col("src")).select("label", F.col("dst").alias("id")).distinct()
         front = cut(step.join(reached, ["label", "id"], "left_anti").withColumn("dist", F.lit(d)))
         if front.isEmpty():
@@ -98,16 +100,16 @@ def support(edges: DataFrame, topics: DataFrame, max_hops: int = 4, decay: float
     return reach.where("dist > 0").select("id", "label", "dist", F.round(F.pow(F.lit(decay), F.col("dist") - 1), 6).alias("support"))
 
 
-def generations(edges: DataFrame, max_depth: int = 64) -> DataFrame:
+def generations(edges: DataFrame) -> DataFrame:
     """GRA-14: vertices that cite nothing are generation 0; others their least distance to one; 0 if there is none."""
     ids = cut(vertices(edges))
     roots = ids.join(edges.select(F.col("src").alias("id")).distinct(), "id", "left_anti")
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    reach = frontier(back, roots.select(F.lit(0).alias("label"), "id"), max_depth)
+    reach = frontier(back, roots.select(F.lit(0).alias("label"), "id"), None)
     return ids.join(reach.select("id", "dist"), "id", "left").select("id", F.coalesce("dist", F.lit(0)).alias("generation"))
 
 
-def core_numbers(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+def core_numbers(edges: DataFrame) -> DataFrame:
     """GRA-04: core numbers, as the fixed point of the h-index of the neighbours' numbers, from the degrees down.
 
     The h-index of a vertex is taken from counts of its neighbours' numbers (capped at its own), so a vertex with many
@@ -115,7 +117,7 @@ def core_numbers(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     """
     undirected = cut(both_ways(edges))
     core = cut(undirected.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("core")))
-    for _ in range(max_rounds):
+    while True:
         near = undirected.join(core.select(F.col("id").alias("dst"), F.col("core").alias("c")), "dst").join(core.select(F.col("id").alias("src"), "core"), "src")
         counts = near.groupBy("src", F.least("c", "core").alias("c")).agg(F.count(F.lit(1)).alias("n"))
         above = Window.partitionBy("src").orderBy(F.desc("c")).rowsBetween(Window.unboundedPreceding, 0)
@@ -124,8 +126,7 @@ def core_numbers(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
         moved = new.where("moved").isEmpty()
         core = new.select("id", "core")
         if moved:
-            break
-    return core
+            return core
 
 
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
@@ -200,18 +201,21 @@ def density(edges: DataFrame, members: DataFrame) -> DataFrame:
     return n.join(k, "grp", "left").select("grp", "members", links.alias("links"), F.round(F.when(F.col("members") > 1, links / (F.col("members") * (F.col("members") - 1))).otherwise(0.0), 6).alias("density"))
 
 
-def betweenness(edges: DataFrame, pivots: int = 64, max_depth: int = 16) -> DataFrame:
+def betweenness(edges: DataFrame, pivots: int | None = None) -> DataFrame:
     """GRA-05: betweenness from pivots chosen by hash, scaled to all vertices (exact if there are as many pivots).
 
+    Without ``pivots``, all vertices are pivots in graphs of up to 5,000, and 500 in larger ones.
+
     Breadth-first from all pivots at once, with numbers of shortest paths, then dependencies back, level by level.
     """
     ids = cut(vertices(edges))
     n = ids.count()
+    pivots = (n if n <= 5000 else 500) if pivots is None else pivots
     start = ids.orderBy(F.xxhash64("id"), "id").limit(pivots)
     used = min(pivots, n)
     levels = [cut(start.select(F.col("id").alias("root"), "id", F.lit(1.0).alias("paths")))]
     seen = levels[0].select("root", "id")
-    for _ in range(max_depth):
+    while True:
         step = levels[-1].join(edges, F.col("id") == F.col("src")).groupBy("root", F.col("dst").alias("id")).agg(F.sum("paths").alias("paths"))
         nxt = cut(step.join(seen, ["root", "id"], "left_anti"))
         if nxt.isEmpty():

@@ -93,6 +93,12 @@ def test_betweenness_is_exact_with_all_pivots(spark):
     assert got == pytest.approx(want)
 
 
+def test_betweenness_follows_long_paths(spark):
+    n = 21
+    got = {r.id: r.betweenness * (n - 1) * (n - 2) for r in G.betweenness(_edges(spark, [(i, i + 1) for i in range(n - 1)])).collect()}
+    assert got == pytest.approx({i: float(i * (n - 1 - i)) for i in range(n)})
+
+
 def test_communities_are_repeatable(spark):
     clique = [(a, b) for a in range(5) for b in range(5) if a < b] + [(a, b) for a in range(10, 15) for b in range(10, 15) if a < b] + [(4, 10)]
     got = {r.id: r.community for r in G.label_propagation(_edges(spark, clique), 5).collect()}
