@@ -25,8 +25,8 @@ def gra_01_edges(spark, d):
 
 
 def gra_02_pagerank(spark, d):
-    """GRA-02: PageRank, ten rounds."""
-    return G.pagerank(followers(spark, d), max_iter=10, tol=0.0).select("id", F.round("rank", 9).alias("rank"))
+    """GRA-02: PageRank, up to 100 rounds, until the summed change is below n * 1e-6."""
+    return G.pagerank(followers(spark, d)).select("id", F.round("rank", 9).alias("rank"))
 
 
 def gra_03_degrees(spark, d):
@@ -50,8 +50,8 @@ def gra_06_communities(spark, d):
 
 
 def gra_07_lineage(spark, d):
-    """GRA-07, GRA-13: distances, reach and lineage from the seeds, over reversed edges."""
-    return G.lineage(followers(spark, d), _seeds(spark, d), max_depth=2)
+    """GRA-07, GRA-13: distances, reach and lineage up to four steps from the seeds, over reversed edges."""
+    return G.lineage(followers(spark, d), _seeds(spark, d))
 
 
 def gra_08_cocitation(spark, d):
@@ -78,8 +78,8 @@ def gra_11_adjacency(spark, d):
 
 
 def gra_12_support(spark, d):
-    """GRA-12: support of brands by distance."""
-    return G.support(followers(spark, d), _seeds(spark, d), max_hops=2)
+    """GRA-12: support of brands up to four hops away."""
+    return G.support(followers(spark, d), _seeds(spark, d))
 
 
 def gra_14_generations(spark, d):

@@ -99,6 +99,15 @@ def test_betweenness_follows_long_paths(spark):
     assert got == pytest.approx({i: float(i * (n - 1 - i)) for i in range(n)})
 
 
+def test_queries_reach_four_steps(spark, tmp_path):
+    from plumbline.plans import graphs
+
+    spark.createDataFrame([(1, i, i) for i in range(1, 7)], "l_orderkey long, l_linenumber int, l_partkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(i, 1 if i == 6 else 5, "b") for i in range(1, 7)], "p_partkey long, p_size int, p_brand string").write.parquet(str(tmp_path / "part.parquet"))
+    assert {r.id: r.min_seed_distance for r in graphs.gra_07_lineage(spark, str(tmp_path)).collect()} == {6: 0, 5: 1, 4: 2, 3: 3, 2: 4}
+    assert {r.id: r.dist for r in graphs.gra_12_support(spark, str(tmp_path)).collect()} == {5: 1, 4: 2, 3: 3, 2: 4}
+
+
 def test_communities_are_repeatable(spark):
     clique = [(a, b) for a in range(5) for b in range(5) if a < b] + [(a, b) for a in range(10, 15) for b in range(10, 15) if a < b] + [(4, 10)]
     got = {r.id: r.community for r in G.label_propagation(_edges(spark, clique), 5).collect()}
