@@ -331,10 +331,9 @@ def link_names(names: DataFrame, name: str, weight: str, registry: DataFrame, id
     marked = lambda df: df.withColumn("at", F.concat(F.substring("kind", 1, 1), "point"))
     left, right = cut(marked(read)), cut(marked(known))  # read once, used by several joins
     near = radius_join(left, "at", right.withColumnRenamed("at", "place"), "place", radius)
-    # a typed word that people use again and again is a word of its own and no typing error
-    used = left.join(typed, "name").groupBy("at").agg(F.sum("weight").alias("uses"))
-    near = near.join(used, "at").join(used.select(F.col("at").alias("place"), F.col("uses").alias("known_uses")), "place", "left")
-    near = cut(near.where((F.col("distance") == 0) | ~F.col("at").startswith("g") | (F.col("uses") * 2 < F.coalesce("known_uses", F.lit(0)))))
+    # a typed group name that is itself in the registry is no typing error of another; else the one nearest entry counts
+    groups = near.where(F.col("at").startswith("g")).withColumn("least", F.min("distance").over(Window.partitionBy("at"))).where("distance = least").drop("least")
+    near = cut(near.where(~F.col("at").startswith("g")).unionByName(groups))
     matched = left.join(near.select("at", "place", "distance"), "at").join(right.select("id", "full", "full_particle", F.col("at").alias("place")), "place")
     fits = matched.select("name", "id", "kind", "given", "full", "distance", "particle", "full_particle").mapInArrow(_fit, "name string, id string, cost int, initial boolean")
     best = fits.groupBy("name", "id").agg(F.min("cost").alias("cost"), F.min("initial").alias("initial"))

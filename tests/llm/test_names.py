@@ -47,6 +47,16 @@ def test_linking(spark):
     assert link_names(names, "name", "uses", registry.limit(0), "id", "name").count() == 0
 
 
+def test_group_names_link_however_often_they_are_typed(spark):
+    registry = spark.createDataFrame([("1", "Oskby Study Group"), ("2", "Narvik Trial Group"), ("3", "Narvek Trial Group")], "id string, name string")
+    typed = [("Osky Study Group", 50), ("Oskby Study Group", 1), ("Narvik Trial Group", 1), ("Narvek Trial Group", 9), ("Narvk Trial Group", 5)]
+    for rows in (typed, typed[:1]):
+        names = spark.createDataFrame(rows, "name string, uses int")
+        got = {r[0]: r[1] for r in link_names(names, "name", "uses", registry, "id", "name").collect()}
+        want = {"Osky Study Group": "1", "Oskby Study Group": "1", "Narvik Trial Group": "2", "Narvek Trial Group": "3"}
+        assert got == {n: want[n] for n, _ in rows if n in want}
+
+
 def test_initials_outweighed_by_people_outside(spark):
     registry = spark.createDataFrame([("2", "Christopher Wyckestøl")], "id string, name string")
     names = spark.createDataFrame([("C Wyckestøl", 3), ("Charlotte Wyckestøl", 9), ("Christopher Wyckestøl", 2)], "name string, uses int")
