@@ -115,7 +115,7 @@ def gra_20_parents(spark, d):
 
 
 def gra_22_positions(spark, d):
-    """GRA-21, GRA-22, GRA-23: positions within groups."""
+    """GRA-22: positions within groups."""
     return G.golden_positions(table(spark, d, "customer").select("c_custkey", "c_nationkey"), "c_nationkey", F.col("c_custkey")).select("c_custkey", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
 
 
