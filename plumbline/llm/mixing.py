@@ -1,12 +1,14 @@
 """Mixing sources to target weights: Pfair schedules of blocks, earliest deadline first.
 
-Every source is a task whose weight is its share. Its j-th block (from 0) is released at slot floor(j / w) and due by
-slot ceil((j + 1) / w); each slot takes, of the blocks released, the one due first. For weights that sum to 1, every
-block is placed between release and deadline, so at any point of the mix a source is less than one block away from its
-share. The pattern repeats after a frame of slots, so it is worked out for one frame and any block's slot follows from
-its number alone: documents find their slots in parallel.
-
-A document stands in the block in which it starts. Positions within a source are running sums of sizes, worked out
+Every source is a task whose weight w is its quota of tokens over all quotas, a ratio of whole numbers that is never
+rounded. Its j-th block (from 0) is released at slot floor(j / w) and due by slot ceil((j + 1) / w); each slot takes, of
+the blocks released, the one due first. The weights sum to 1, so every block is placed between release and deadline, and
+at any point of the mix a source is less than one block away from its share.
+
+The whole mix is scheduled, not a frame that repeats. A mix has at most ``max_slots`` slots, so blocks are larger in
+larger mixes: the deviation stays below 1 / max_slots of the mix, and the plan has the same size for any data. Documents
+look up the slot of their block in parallel. A document stands in the block in which it starts, so in tokens a source is
+off by less than one block and its longest document. Positions within a source are running sums of sizes, worked out
 bucket by bucket, so a source of any size is spread over many tasks.
 """
 
@@ -17,6 +19,7 @@ import heapq
 import math
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from fractions import Fraction
 from functools import lru_cache
 
 import pyarrow as pa
@@ -32,11 +35,10 @@ PRE_TOKENS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++
 
 
 @lru_cache(maxsize=2)
-def _encoding(path: str):
+def _encoding(vocabulary: bytes):
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
     return tiktoken.Encoding("own", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
 
 
@@ -44,10 +46,13 @@ def token_counts(df: DataFrame, ident: str, source: str, text: str, tokenizer: s
     """``id``, ``source`` (trimmed, lower case) and ``tokens`` of every document with a source and at least one token.
 
     The whole text counts. Rows with the same identifier are one document. NULL and empty texts have no tokens.
+    ``tokenizer`` is a vocabulary file that the driver can read; it travels with the tasks, so executors need no copy.
     """
+    with open(tokenizer, "rb") as f:
+        vocabulary = f.read()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(tokenizer).encode_ordinary
+        encode = _encoding(vocabulary).encode_ordinary
         for b in batches:
             sizes = [len(encode(t)) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes, pa.int64())], ["id", "source", "tokens"])
@@ -58,36 +63,25 @@ def token_counts(df: DataFrame, ident: str, source: str, text: str, tokenizer: s
     return counted.where("tokens > 0").groupBy("id").agg(F.min("source").alias("source"), F.max("tokens").alias("tokens"))
 
 
-def frame_counts(weights: Mapping[str, float], slots: int) -> dict[str, int]:
-    """Whole numbers of blocks for a frame of ``slots``, in proportion to the weights (largest remainders)."""
-    total = sum(weights.values())
-    exact = {s: w / total * slots for s, w in weights.items() if w > 0}
-    out = {s: max(1, math.floor(x)) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (out[s] - exact[s], s)):
-        if sum(out.values()) >= slots:
-            break
-        out[s] += 1
-    while sum(out.values()) > slots:  # only if sources below one block were lifted to one
-        out[max(out, key=lambda s: (out[s] - exact[s], out[s], s))] -= 1
-    return out
-
-
-def pfair_frame(counts: Mapping[str, int]) -> dict[str, list[int]]:
-    """The slots of each source's blocks in one frame of ``sum(counts)`` slots."""
-    frame = sum(counts.values())
-    slots: dict[str, list[int]] = {s: [] for s in counts}
-    waiting = [(0, s) for s, n in counts.items() if n]  # by release
-    heapq.heapify(waiting)
+def pfair_slots(quota: Mapping[str, int], block: int) -> dict[str, list[int]]:
+    """The slot of each block of ``block`` tokens of every source; a source's last block may be shorter."""
+    total = sum(quota.values())
+    blocks = {s: -(-q // block) for s, q in quota.items() if q > 0}
+    slots: dict[str, list[int]] = {s: [] for s in quota}
+    waiting = [(0, s) for s in sorted(blocks)]  # by release
     ready: list[tuple[int, int, str]] = []  # by deadline, then the scarcer source
-    for t in range(frame):
+    t = 0
+    while waiting or ready:
+        if not ready:
+            t = max(t, waiting[0][0])
         while waiting and waiting[0][0] <= t:
             _, s = heapq.heappop(waiting)
-            j = len(slots[s])
-            heapq.heappush(ready, (-(-(j + 1) * frame // counts[s]), counts[s], s))
+            heapq.heappush(ready, (-(-(len(slots[s]) + 1) * total // quota[s]), quota[s], s))
         _, _, s = heapq.heappop(ready)
         slots[s].append(t)
-        if (j := len(slots[s])) < counts[s]:
-            heapq.heappush(waiting, (max(t + 1, j * frame // counts[s]), s))
+        t += 1
+        if (j := len(slots[s])) < blocks[s]:
+            heapq.heappush(waiting, (max(t, j * total // quota[s]), s))
     return slots
 
 
@@ -100,39 +94,44 @@ class Quota:
     share: float
     max_repeats: int
     available: int  # tokens of one pass
-    tokens: float  # to be given
-    every: int  # blocks a frame
-    frame: int
+    tokens: int  # to be given
 
 
-def quotas(targets: list[tuple[str, str, float, int]], available: Mapping[str, int], frame: int = 10_000) -> list[Quota]:
-    """Quotas for all mixes: the largest totals at which no source with documents needs more than its repeats.
+def quotas(targets: list[tuple[str, str, float, int]], available: Mapping[str, int]) -> list[Quota]:
+    """Quotas in whole tokens: the largest totals at which no source with documents needs more than its repeats.
 
     A source without documents cannot give anything: its target is out of reach, the others keep their proportions.
+    Shares are taken as the decimal numbers they are written as, so a quota is off by less than one token.
     """
     out = []
     for mix in sorted({t[0] for t in targets}):
         rows = [(s, share, reps) for m, s, share, reps in targets if m == mix]
-        able = [(available.get(s, 0) * reps, share) for s, share, reps in rows if share > 0 and available.get(s, 0) * reps > 0]
-        total = min((most / share for most, share in able), default=0.0)
-        give = {s: share * total for s, share, reps in rows if share > 0 and available.get(s, 0) * reps > 0}
-        every = frame_counts(give, max(frame, len(give))) if give else {}
-        n = sum(every.values())
-        out += [Quota(mix, s, share, reps, available.get(s, 0), give.get(s, 0.0), every.get(s, 0), n) for s, share, reps in rows]
+        able = [(available.get(s, 0) * reps, Fraction(repr(share))) for s, share, reps in rows if share > 0 and available.get(s, 0) * reps > 0]
+        total = min((most / share for most, share in able), default=Fraction(0))
+        give = {s: math.floor(Fraction(repr(share)) * total) for s, share, reps in rows if share > 0 and available.get(s, 0) * reps > 0}
+        out += [Quota(mix, s, share, reps, available.get(s, 0), give.get(s, 0)) for s, share, reps in rows]
     return out
 
 
+def block_size(plan: list[Quota], mix: str, least: int, max_slots: int) -> int:
+    return max(least, -(-sum(q.tokens for q in plan if q.mix == mix) // max_slots))
+
+
 @dataclass(frozen=True)
 class Mix:
-    """``schedule``: mix_name, slot, start, source, doc_id, copy_no, tokens. ``shares``: one row a target."""
+    """``schedule``: mix_name, slot, start, source, doc_id, copy_no, tokens. ``shares``: one row a target.
+    ``deviation``: how far, in tokens, each source is ahead of and behind its share at most, anywhere in the mix."""
 
     schedule: DataFrame
     shares: DataFrame
+    deviation: DataFrame
 
 
-def mix_sources(sizes: DataFrame, targets: DataFrame, block_tokens: int = 4096, bucket_rows: int = 50_000, seed: int = 7) -> Mix:
+def mix_sources(sizes: DataFrame, targets: DataFrame, block_tokens: int = 4096, bucket_rows: int = 50_000, seed: int = 7, max_slots: int = 200_000) -> Mix:
     """Mix documents to the target shares.
 
+    Blocks have ``block_tokens`` tokens, or more where a mix would have more than ``max_slots`` of them.
+
     ``sizes``: id, source, tokens. ``targets``: mix_name, source, target_share, max_repeats, one row for each mix and
     source (a small table by nature: it reaches the driver). A source's documents come in a hashed order; when it is
     used up it starts again, up to max_repeats times. A copy is used if at least half of it lies within the quota, so a
@@ -160,18 +159,19 @@ def mix_sources(sizes: DataFrame, targets: DataFrame, block_tokens: int = 4096,
     placed = spread.withColumn("inside", F.coalesce(F.sum("tokens").over(inside), F.lit(0))).join(base, ["source", "bucket"])
     placed = placed.select("id", "source", "tokens", (F.col("base") + F.col("inside")).alias("at"))
 
-    rows = [(q.mix, q.source, q.share, q.max_repeats, q.available, q.tokens, q.every, q.frame) for q in plan]
-    quota = spark.createDataFrame(rows, "mix_name string, source string, target_share double, max_repeats int, available bigint, quota double, every int, frame int")
-    frames = [(q.mix, q.source, pfair_frame({x.source: x.every for x in plan if x.mix == q.mix and x.every})[q.source]) for q in plan if q.every]
-    slots = spark.createDataFrame(frames, "mix_name string, source string, slots array<int>")
+    blocks = {m: block_size(plan, m, block_tokens, max_slots) for m in {q.mix for q in plan}}
+    slots_of = {m: pfair_slots({q.source: q.tokens for q in plan if q.mix == m}, b) for m, b in blocks.items()}
+    rows = [(q.mix, q.source, q.share, q.max_repeats, q.available, q.tokens, blocks[q.mix]) for q in plan]
+    quota = spark.createDataFrame(rows, "mix_name string, source string, target_share double, max_repeats int, available bigint, quota bigint, block_tokens bigint")
+    # at most max_slots numbers a mix
+    slots = spark.createDataFrame([(q.mix, q.source, slots_of[q.mix][q.source]) for q in plan if q.tokens], "mix_name string, source string, slots array<int>")
 
     half = F.col("tokens") / 2.0
     fitting = F.floor((F.col("quota") - F.col("at") - half) / F.col("available")) + 1
     uses = placed.join(F.broadcast(quota), "source").withColumn("uses", F.least(fitting, F.col("max_repeats").cast("bigint"))).where("uses > 0")
-    copies = uses.select("mix_name", "source", "id", "tokens", "at", "available", "every", "frame", F.explode(F.sequence(F.lit(1), F.col("uses").cast("int"))).alias("copy_no"))
+    copies = uses.select("mix_name", "source", "id", "tokens", "at", "available", "block_tokens", F.explode(F.sequence(F.lit(1), F.col("uses").cast("int"))).alias("copy_no"))
     start = F.col("at") + (F.col("copy_no") - 1) * F.col("available")
-    block = F.floor(start / F.lit(block_tokens))
-    slot = F.floor(block / F.col("every")) * F.col("frame") + F.get("slots", F.pmod(block, F.col("every")).cast("int"))
+    slot = F.get("slots", F.floor(start / F.col("block_tokens")).cast("int"))
     schedule = copies.join(F.broadcast(slots), ["mix_name", "source"]).select("mix_name", slot.cast("bigint").alias("slot"), start.cast("bigint").alias("start"), "source", F.col("id").alias("doc_id"), "copy_no", "tokens")
 
     given = uses.groupBy("mix_name", "source").agg(
@@ -184,4 +184,18 @@ def mix_sources(sizes: DataFrame, targets: DataFrame, block_tokens: int = 4096,
         tokens.alias("tokens"), F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("copies", F.lit(0)).alias("copies"),
         F.coalesce("repeats_used", F.lit(0)).cast("int").alias("repeats_used"), "max_repeats", (F.col("quota") > 0).alias("in_reach"),
     )
-    return Mix(schedule, shares)
+    return Mix(schedule, shares, _deviation(schedule, quota))
+
+
+def _deviation(schedule: DataFrame, quota: DataFrame) -> DataFrame:
+    """Sums of slots, at most max_slots a mix, run up in order: a source is furthest behind before one of its slots, and
+    furthest ahead after it."""
+    sums = schedule.groupBy("mix_name", "slot", "source").agg(F.sum("tokens").alias("n"))
+    mix, own = Window.partitionBy("mix_name").orderBy("slot", "source"), Window.partitionBy("mix_name", "source").orderBy("slot")
+    total = Window.partitionBy("mix_name")
+    weighed = quota.select("mix_name", "source", "block_tokens", (F.col("quota") / F.sum("quota").over(total)).alias("w"))
+    run = sums.withColumn("all", F.sum("n").over(mix)).withColumn("own", F.sum("n").over(own)).join(F.broadcast(weighed), ["mix_name", "source"])
+    after, before = F.col("own") - F.col("w") * F.col("all"), F.col("w") * (F.col("all") - F.col("n")) - (F.col("own") - F.col("n"))
+    out = run.groupBy("mix_name", "source").agg(F.max("block_tokens").alias("block_tokens"), F.round(F.max(after), 1).alias("most_ahead"), F.round(F.max(before), 1).alias("most_behind"))
+    longest = schedule.groupBy("mix_name", "source").agg(F.max("tokens").alias("longest"))
+    return out.join(longest, ["mix_name", "source"])

@@ -202,6 +202,11 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mix(spark, sf_dir).shares
 
 
+def p8_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each source is from its share at most, in tokens, anywhere in the mix."""
+    return _mix(spark, sf_dir).deviation
+
+
 def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its language, its score for abusive, hateful or sexual content, and whether it is flagged."""
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "content_labels"), "doc_id", "text", "lang", "source", "objectionable")
@@ -224,6 +229,7 @@ QUERIES = {
     "p7_leaks": p7_leaks,
     "p8_schedule": p8_schedule,
     "p8_shares": p8_shares,
+    "p8_deviation": p8_deviation,
     "p9_found": p9_found,
     "p9_scores": p9_scores,
     "p9_rates": p9_rates,
