@@ -3,8 +3,10 @@
 Words are hashed to embeddings; filters of several widths slide over the whole text, and the greatest value of each
 filter, wherever it is, makes the document's features (so one passage in a long text is enough). Trained on the labelled
 documents, at most ``max_documents`` of them by the hash of their identifier. Raters err, so training is done twice:
-scores of held-out parts show labels that contradict what the others teach, and these are left out of the final
-training. A threshold for each language is chosen on the held-out scores.
+scores of held-out parts are calibrated, and labels against which they are strong evidence are left out of the final
+training. What counts is how far the evidence moves the odds from the rate of positives: scores that know nothing, as
+with few labels, move no odds and remove no label. A threshold for each language is chosen on the held-out scores of all
+labels, each counted by the probability that it is right.
 
 Spellings meant to hide a word (leetspeak, asterisks, letters set apart, stretched letters) are undone where that gives
 a word of the vocabulary. Rare words, numbers and codes share embeddings, so nothing is learnt by heart from them.
@@ -138,18 +140,25 @@ def plain_words(text: str | None) -> list[str]:
 
 @dataclass(frozen=True)
 class CnnParams:
+    """``wrong_labels``: share of labels expected to be wrong; ``most_doubted``: greatest share of the positive, and of
+    the negative, labels left out; ``least_steps``: a net takes as many, however few labels there are;
+    ``least_documents``: labelled documents a word must stand in to be learnt, fewer where there are few labels;
+    ``max_documents``: bound of the sample."""
+
     rows: int = 1 << 16
     dim: int = 24
     widths: tuple[int, ...] = (1, 2, 3, 4, 5)
     filters: int = 20
     epochs: int = 8
+    least_steps: int = 600
     batch: int = 64
     rate: float = 4e-3
     dropout: float = 0.3
     decay: float = 1e-4
     folds: int = 3
     nets: int = 2
-    doubt: float = 0.6
+    wrong_labels: float = 0.1
+    most_doubted: float = 0.3
     least_documents: int = 4
     max_documents: int = 12_000
     seed: int = 11
@@ -219,10 +228,12 @@ class Cnn:
         p = self.p
         params = [self.emb, *self.conv, *self.bias, self.out, self.out_bias]
         m, v, step = [np.zeros_like(x) for x in params], [np.zeros_like(x) for x in params], 0
-        total = p.epochs * -(-len(texts) // p.batch)
-        if not total:
+        if not len(texts):
             return self
-        for _ in range(p.epochs):
+        batches = -(-len(texts) // p.batch)
+        epochs = max(p.epochs, -(-p.least_steps // batches))
+        total = epochs * batches
+        for _ in range(epochs):
             order = rng.permutation(len(texts))
             for s in range(0, len(order), p.batch):
                 pick = order[s : s + p.batch]
@@ -317,31 +328,70 @@ def best_threshold(scores: np.ndarray, target: np.ndarray, slack: float = 0.004)
     return float(1 / (1 + np.exp(-np.mean(odds))))
 
 
+def calibrated(scores: np.ndarray, target: np.ndarray, rounds: int = 25) -> np.ndarray:
+    """Log odds of the labels given the scores, by logistic regression on the scores' log odds; it never turns them round."""
+    z = np.log(np.clip(scores, 1e-6, 1 - 1e-6) / np.clip(1 - scores, 1e-6, 1))
+    z = (z - z.mean()) / (z.std() + 1e-9)
+    x, w = np.stack([z, np.ones_like(z)], 1), np.zeros(2)
+    for _ in range(rounds):
+        prob = 1 / (1 + np.exp(-(x @ w)))
+        hessian = x.T @ (x * (prob * (1 - prob))[:, None]) + np.eye(2)
+        w += np.linalg.solve(hessian, x.T @ (target - prob) - w)
+    return x @ np.array([max(w[0], 0.0), w[1]])
+
+
+def true_odds(scores: np.ndarray, target: np.ndarray, wrong: float) -> tuple[np.ndarray, np.ndarray]:
+    """What held-out scores say of each label: the log odds they add for the positive side, and those with the label.
+
+    ``wrong`` is the share of labels expected to be wrong. Votes between 0 and 1 count in proportion.
+    """
+    base = np.clip(target.mean(), 1e-6, 1 - 1e-6)
+    evidence = calibrated(scores, target) - np.log(base / (1 - base))
+    return evidence, evidence + (2 * target - 1) * np.log((1 - wrong) / wrong)
+
+
+def doubtful_labels(scores: np.ndarray, target: np.ndarray, p: CnnParams) -> np.ndarray:
+    """Labels that are more likely wrong than right.
+
+    Raters who disagree make a vote between 0 and 1, which is not doubted. Of the positive and of the negative labels no
+    more than ``most_doubted`` are doubted, those with the strongest evidence against them.
+    """
+    _, odds = true_odds(scores, target, p.wrong_labels)
+    out = np.zeros(len(target), bool)
+    for label, against in ((1, -odds), (0, odds)):
+        at = np.flatnonzero((target == label) & (against > 0))
+        most = int(p.most_doubted * (target == label).sum())
+        out[at[np.argsort(-against[at], kind="stable")[:most]]] = True
+    return out
+
+
 def fit(texts: Sequence[str], votes: np.ndarray, languages: Sequence[str], p: CnnParams = CnnParams()) -> Classifier:
     """Train on documents with the mean vote (0..1) of their raters."""
     rng = np.random.default_rng(p.seed)
     df = Counter(w for t in texts for w in set(plain_words(t)))
-    reader = Reader(frozenset(w for w, n in df.items() if n >= p.least_documents), p.rows)
+    least = min(p.least_documents, 2 + len(texts) // 500)
+    reader = Reader(frozenset(w for w, n in df.items() if n >= least), p.rows)
     read = [reader.read(t) for t in texts]
     target = np.asarray(votes, np.float32)
     weight = np.ones(len(read), np.float32)
-    fold = rng.permutation(len(read)) % p.folds
+    folds = min(p.folds, len(read))
+    fold = rng.permutation(len(read)) % max(1, folds)
     held = np.full(len(read), 0.5)
-    if len(read) >= 10 * p.folds:
-        for k in range(p.folds):
+    if folds > 1:
+        for k in range(folds):
             into, rest = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
             net = Cnn(p, rng).train([read[i] for i in into], target[into], weight[into], rng)
             held[rest] = 1 / (1 + np.exp(-net.score([read[i] for i in rest])))
-    doubtful = np.abs(held - target) > p.doubt
-    kept = np.flatnonzero(~doubtful)
+    kept = np.flatnonzero(~doubtful_labels(held, target, p))
     nets = [Cnn(p, rng).train([read[i] for i in kept], target[kept], weight[kept], rng) for _ in range(p.nets)]
     clean = (target > 0.5).astype(float)
-    default = best_threshold(held[kept], clean[kept]) if clean[kept].any() else 0.5
+    likely = 1 / (1 + np.exp(-true_odds(held, target, p.wrong_labels)[1]))
+    default = best_threshold(held, likely) if clean.any() else 0.5
     thresholds = {}
     for lang in set(languages):
-        at = np.array([i for i in kept if languages[i] == lang], int)
+        at = np.array([i for i in range(len(read)) if languages[i] == lang], int)
         if clean[at].sum() >= 30 and (clean[at] == 0).sum() >= 30:
-            thresholds[lang] = best_threshold(held[at], clean[at])
+            thresholds[lang] = best_threshold(held[at], likely[at])
     return Classifier(reader, nets, thresholds, default)
 
 

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from plumbline.llm.abuse import CnnParams, Reader, fit, guess_language, hash_word, rates, score_documents
+from plumbline.llm.abuse import CnnParams, Reader, doubtful_labels, fit, guess_language, hash_word, rates, score_documents
 from plumbline.llm.mixing import TOKENIZER, block_size, mix_sources, pfair_slots, quotas, token_counts
 
 
@@ -96,17 +96,43 @@ def _texts(n, rng):
     return out
 
 
+def test_doubts_need_evidence():
+    p = CnnParams()
+    rng = np.random.default_rng(4)
+    target = (np.arange(400) % 5 == 0).astype(float)
+    blind = np.full(400, 0.2) + rng.normal(0, 0.01, 400)  # scores near the rate of positives know nothing
+    assert not doubtful_labels(blind, target, p).any()
+    sharp = np.clip(target * 0.9 + 0.05 + rng.normal(0, 0.02, 400), 0.01, 0.99)
+    wrong = target.copy()
+    flipped = np.r_[0:40:5, 1:20:5]  # eight positives called negative, four negatives called positive
+    wrong[flipped] = 1 - wrong[flipped]
+    doubted = set(np.flatnonzero(doubtful_labels(sharp, wrong, p)))
+    assert doubted <= set(flipped) and len(doubted) >= len(flipped) - 1
+    every = doubtful_labels(1 - sharp, target, p)  # scores that contradict everything remove a bounded share at most
+    assert every[target == 1].mean() <= p.most_doubted and every[target == 0].mean() <= p.most_doubted
+
+
+def test_few_labels_still_flag():
+    rng = random.Random(3)
+    train, held = _texts(48, rng), _texts(200, rng)
+    model = fit([t for t, _ in train], np.array([float(y) for _, y in train]), ["en"] * 48, CnnParams(rows=4096, least_steps=120))
+    flags, truth = model.flagged(model.scores([t for t, _ in held]), ["en"] * 200), np.array([y for _, y in held])
+    assert (flags & truth).sum() > 0.8 * truth.sum() and (flags & ~truth).sum() < 0.2 * truth.sum()
+    one = fit(["bad", "good"], np.array([1.0, 0.0]), ["en", "en"], CnnParams(rows=64, least_steps=5))
+    assert len(one.scores(["bad", None])) == 2
+
+
 def test_held_out_accuracy(spark):
     rng = random.Random(9)
     train, held = _texts(600, rng), _texts(200, rng)
     votes = np.array([float(y != (rng.random() < 0.07)) for _, y in train])  # raters err
-    model = fit([t for t, _ in train], votes, [guess_language(t, None) for t, _ in train], CnnParams(epochs=5, rows=4096))
+    model = fit([t for t, _ in train], votes, [guess_language(t, None) for t, _ in train], CnnParams(epochs=5, rows=4096, least_steps=0))
     flags = model.flagged(model.scores([t for t, _ in held]), ["en"] * len(held))
     assert np.mean(flags == np.array([y for _, y in held])) > 0.97
     docs = [(i, t, "en", " Web " if i % 2 else None, 1) for i, (t, _) in enumerate(train[:300])] + [(900, None, None, "web", 1), (901, "", "xx", "web", 1)]
     df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, score int")
     labels = spark.createDataFrame([(i, int(v)) for i, v in enumerate(votes[:300])] + [(0, None)], "doc_id bigint, objectionable int")
-    args = ("doc_id", "text", "lang", "source", "objectionable", CnnParams(epochs=3, rows=4096))
+    args = ("doc_id", "text", "lang", "source", "objectionable", CnnParams(epochs=3, rows=4096, least_steps=0))
     scored = score_documents(df, labels, *args)
     got = {r.doc_id: r for r in scored.collect()}
     assert len(got) == 302 and not got[900].flagged and not got[901].flagged and got[1].source == "web"
