@@ -48,6 +48,23 @@ def test_pairs_against_brute_force(spark):
     assert docs[2] == docs[0] == (0, 2)
 
 
+def test_samples_are_pairs_of_run_and_t():
+    p = NearParams(bands=25, rows=4)
+    w = RunWeights(np.zeros(0, np.uint32), np.zeros(0, int), (np.arange(1, 25) / 24) ** 2)
+    table, multipliers = sampling_tables(w, p)
+    rng = np.random.default_rng(3)
+    for size in (200, 5000):  # unrelated sets never agree, however large they are
+        ids = np.unique(rng.integers(0, 2**31, 2 * size + 99)).astype(np.uint32)
+        ids = rng.permutation(ids)[: 2 * size]
+        sig = signatures(np.concatenate([np.sort(ids[:size]), np.sort(ids[size:])]), np.array([size, size]), w.steps(ids), table, multipliers)
+        assert not (sig[:, 0] == sig[:, 1]).any()
+    x = np.sort(np.unique(rng.integers(0, 2**31, 300)).astype(np.uint32))
+    y = np.sort(np.concatenate([x[:200], rng.integers(0, 2**31, 100).astype(np.uint32)]))
+    both = np.concatenate([x, y])
+    sig = signatures(both, np.array([len(x), len(y)]), w.steps(both), *sampling_tables(w, NearParams(bands=500, rows=4)))
+    assert abs((sig[:, 0] == sig[:, 1]).mean() - len(np.intersect1d(x, y)) / len(np.union1d(x, y))) < 0.04
+
+
 def test_large_buckets_lose_no_pair(spark):
     base = [f"w{i}" for i in range(80)]
     rows = [(i, " ".join([*base[:i], f"x{i}", *base[i + 1 :]])) for i in range(40)]
