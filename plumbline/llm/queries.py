@@ -157,9 +157,9 @@ QUALIFY row_number() OVER (PARTITION BY canonical_paper_id, field_name ORDER BY
 """.replace("@STAND_INS@", STAND_INS).replace("@FURNITURE@", "|".join(FURNITURE)).replace("@CUT_MARKS@", CUT_MARKS)
 
 #: TESTDATA.md asks for three words and half of the runs, however frequent these are; the engine's own defaults are five
-#: words and 0.8. With equal weights, 64 bands of 5 find a pair of similarity 0.58 with a probability of 0.987. Four
+#: words and 0.8. With equal weights, 52 bands of 5 find a pair of similarity 0.58 with a probability of 0.971. Four
 #: samples a band give ten times as many chance candidates between texts with common phrases.
-P6_PARAMS = NearParams(shingle=3, min_similarity=0.5, sharpness=0.0, bands=64, rows=5)
+P6_PARAMS = NearParams(shingle=3, min_similarity=0.5, sharpness=0.0, bands=52, rows=5)
 
 
 def _near(spark: SparkSession, sf_dir: str) -> NearResult:
