@@ -5,8 +5,11 @@ filter, wherever it is, makes the document's features (so one passage in a long
 documents, at most ``max_documents`` of them by the hash of their identifier. Raters err, so training is done twice:
 scores of held-out parts are calibrated, and labels against which they are strong evidence are left out of the final
 training. What counts is how far the evidence moves the odds from the rate of positives: scores that know nothing, as
-with few labels, move no odds and remove no label. A threshold for each language is chosen on the held-out scores of all
-labels, each counted by the probability that it is right.
+with few labels, move no odds and remove no label.
+
+A threshold for each language is chosen after all documents are scored. Labelled documents are no random sample, so held-
+out scores of the labels, each counted by the probability that it is right, give the rates at which positive and negative
+documents pass a threshold, and the numbers of all documents that pass it give the share of positive ones.
 
 Spellings meant to hide a word (leetspeak, asterisks, letters set apart, stretched letters) are undone where that gives
 a word of the vocabulary. Rare words, numbers and codes share embeddings, so nothing is learnt by heart from them.
@@ -14,19 +17,21 @@ a word of the vocabulary. Rare words, numbers and codes share embeddings, so not
 
 from __future__ import annotations
 
+import pickle
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import col, present, trimmed
+from plumbline.session import cut
 
 # --- text to numbers --------------------------------------------------------------------------------------------
 
@@ -302,30 +307,47 @@ def guess_language(text: str | None, named: str | None) -> str:
 # --- fitting ----------------------------------------------------------------------------------------------------
 
 
+#: Thresholds are chosen among these scores, even in log odds.
+GRID = 1 / (1 + np.exp(-np.linspace(-6, 6, 241)))
+
+
 @dataclass
 class Classifier:
+    """Nets, and what held-out scores say: the score of each label, the probability that it is positive, its language."""
+
     reader: Reader
     nets: list[Cnn]
-    thresholds: dict[str, float]
-    default: float
+    held: np.ndarray
+    likely: np.ndarray
+    languages: Sequence[str]
 
     def scores(self, texts: Sequence[str | None]) -> np.ndarray:
         read = [self.reader.read(t) for t in texts]
         z = np.mean([n.score(read) for n in self.nets], 0) if len(read) else np.zeros(0)
         return 1 / (1 + np.exp(-z))
 
-    def flagged(self, scores: np.ndarray, languages: Sequence[str]) -> np.ndarray:
-        return scores >= np.array([self.thresholds.get(x, self.default) for x in languages])
+    def thresholds(self, passing: dict[str, np.ndarray], least: int = 30) -> tuple[dict[str, float], float]:
+        """A threshold for each language with ``least`` labels of either kind, and one for all others.
 
+        ``passing``: by language, how many documents score at least each score of ``GRID``; the first number counts all.
+        """
+        total = sum(passing.values(), np.zeros(len(GRID)))
+        out = {}
+        for lang, counts in passing.items():
+            at = np.array([x == lang for x in self.languages], bool)
+            if self.likely[at].sum() >= least and (1 - self.likely[at]).sum() >= least:
+                out[lang] = best_threshold(self.held[at], self.likely[at], counts)
+        return out, best_threshold(self.held, self.likely, total)
 
-def best_threshold(scores: np.ndarray, target: np.ndarray, slack: float = 0.004) -> float:
-    """The threshold that agrees best (F1) with the labels: the middle, in log odds, of all that are as good to ``slack``."""
-    order = np.argsort(-scores)
-    hits = np.cumsum(target[order])
-    f1 = 2 * hits / (np.arange(1, len(order) + 1) + target.sum() + 1e-9)
-    good = scores[order[np.flatnonzero(f1 >= f1.max() - slack)]]
-    odds = [np.log(x / (1 - x)) for x in np.clip([good.min(), good.max()], 1e-6, 1 - 1e-6)]
-    return float(1 / (1 + np.exp(-np.mean(odds))))
+
+def best_threshold(held: np.ndarray, likely: np.ndarray, passing: np.ndarray, slack: float = 0.004) -> float:
+    """The threshold with the best expected F1 over all documents: the middle of all that are as good to ``slack``."""
+    pass_rate = lambda w: np.array([w[held >= g].sum() for g in GRID]) / max(w.sum(), 1e-9)
+    right, wrong, share = pass_rate(likely), pass_rate(1 - likely), passing / max(passing[0], 1)
+    k = int(np.argmax(right - wrong))
+    positive = np.clip((share[k] - wrong[k]) / max(right[k] - wrong[k], 1e-6), 1e-4, 1)
+    f1 = 2 * np.minimum(positive * right, share) / (share + positive)
+    return float(GRID[int(np.flatnonzero(f1 >= f1.max() - slack).mean())])
 
 
 def calibrated(scores: np.ndarray, target: np.ndarray, rounds: int = 25) -> np.ndarray:
@@ -365,34 +387,51 @@ def doubtful_labels(scores: np.ndarray, target: np.ndarray, p: CnnParams) -> np.
     return out
 
 
-def fit(texts: Sequence[str], votes: np.ndarray, languages: Sequence[str], p: CnnParams = CnnParams()) -> Classifier:
-    """Train on documents with the mean vote (0..1) of their raters."""
-    rng = np.random.default_rng(p.seed)
+def _one_by_one(jobs: Sequence[Callable[[], object]]) -> list:
+    return [job() for job in jobs]
+
+
+def in_tasks(spark: SparkSession) -> Callable[[Sequence[Callable[[], object]]], list]:
+    """Runs a few jobs as tasks of the cluster, one each. What they carry and give back is bounded by the sample."""
+
+    def run_all(jobs: Sequence[Callable[[], object]]) -> list:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                done = [pickle.dumps(jobs[k]()) for k in b.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(done, pa.binary())], ["k", "out"])
+
+        rows = spark.range(0, len(jobs), 1, max(1, len(jobs))).mapInArrow(run, "k bigint, out binary").collect()
+        return [pickle.loads(r["out"]) for r in sorted(rows, key=lambda r: r["k"])]
+
+    return run_all
+
+
+def fit(texts: Sequence[str], votes: np.ndarray, languages: Sequence[str], p: CnnParams = CnnParams(), run_all: Callable = _one_by_one) -> Classifier:
+    """Train on documents with the mean vote (0..1) of their raters. ``run_all`` runs the trainings of a round."""
     df = Counter(w for t in texts for w in set(plain_words(t)))
     least = min(p.least_documents, 2 + len(texts) // 500)
     reader = Reader(frozenset(w for w, n in df.items() if n >= least), p.rows)
     read = [reader.read(t) for t in texts]
     target = np.asarray(votes, np.float32)
-    weight = np.ones(len(read), np.float32)
     folds = min(p.folds, len(read))
-    fold = rng.permutation(len(read)) % max(1, folds)
+    fold = np.random.default_rng(p.seed).permutation(len(read)) % max(1, folds)
+
+    def train(seed: int, into: np.ndarray) -> Cnn:
+        rng = np.random.default_rng([p.seed, seed])
+        return Cnn(p, rng).train([read[i] for i in into], target[into], np.ones(len(into), np.float32), rng)
+
+    def held_out(k: int) -> np.ndarray:
+        net = train(k, np.flatnonzero(fold != k))
+        return 1 / (1 + np.exp(-net.score([read[i] for i in np.flatnonzero(fold == k)])))
+
     held = np.full(len(read), 0.5)
     if folds > 1:
-        for k in range(folds):
-            into, rest = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-            net = Cnn(p, rng).train([read[i] for i in into], target[into], weight[into], rng)
-            held[rest] = 1 / (1 + np.exp(-net.score([read[i] for i in rest])))
+        for k, scores in enumerate(run_all([lambda k=k: held_out(k) for k in range(folds)])):
+            held[fold == k] = scores
     kept = np.flatnonzero(~doubtful_labels(held, target, p))
-    nets = [Cnn(p, rng).train([read[i] for i in kept], target[kept], weight[kept], rng) for _ in range(p.nets)]
-    clean = (target > 0.5).astype(float)
+    nets = run_all([lambda k=k: train(1000 + k, kept) for k in range(p.nets)])
     likely = 1 / (1 + np.exp(-true_odds(held, target, p.wrong_labels)[1]))
-    default = best_threshold(held, likely) if clean.any() else 0.5
-    thresholds = {}
-    for lang in set(languages):
-        at = np.array([i for i in range(len(read)) if languages[i] == lang], int)
-        if clean[at].sum() >= 30 and (clean[at] == 0).sum() >= 30:
-            thresholds[lang] = best_threshold(held[at], likely[at])
-    return Classifier(reader, nets, thresholds, default)
+    return Classifier(reader, nets, held, likely, list(languages))
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, doc_id: str, text: str, lang: str, vote: str, p: CnnParams) -> pd.DataFrame:
@@ -409,9 +448,10 @@ def score_documents(documents: DataFrame, labels: DataFrame, doc_id: str, text:
     NULL and empty texts score 0 and are not flagged. Without usable labels nothing is flagged. Very long texts are
     read whole. Repeated documents are scored each; an empty table gives an empty result; other columns are ignored.
     """
+    spark = documents.sparkSession
     sample = labelled_sample(documents, labels, doc_id, text, lang, vote, p)
     languages = [guess_language(t, n) for t, n in zip(sample["text"], sample["lang"])]
-    model = fit(list(sample["text"]), sample["vote"].to_numpy(float), languages, p) if len(sample) and (sample["vote"] > 0.5).any() else None
+    model = fit(list(sample["text"]), sample["vote"].to_numpy(float), languages, p, in_tasks(spark)) if len(sample) and (sample["vote"] > 0.5).any() else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -419,11 +459,23 @@ def score_documents(documents: DataFrame, labels: DataFrame, doc_id: str, text:
             langs = [guess_language(t, n) for t, n in zip(texts, b.column(2).to_pylist())]
             has = np.array([bool(t) for t in texts])
             scores = np.where(has, model.scores(texts), 0.0) if model else np.zeros(len(texts))
-            flags = has & model.flagged(scores, langs) if model else np.zeros(len(texts), bool)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), pa.array(langs), pa.array(np.round(scores.astype(np.float64), 6)), pa.array(flags)], ["doc_id", "source", "language", "score", "flagged"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), pa.array(langs), pa.array(np.round(scores.astype(np.float64), 6)), pa.array(has)], ["doc_id", "source", "language", "score", "has"])
 
     rows = documents.select(col(doc_id).cast("bigint").alias("doc_id"), present(col(text)).alias("text"), col(lang).cast("string").alias("lang"), F.lower(trimmed(present(col(source)))).alias("source"))
-    return rows.mapInArrow(run, "doc_id bigint, source string, language string, score double, flagged boolean")
+    scored = cut(rows.mapInArrow(run, "doc_id bigint, source string, language string, score double, has boolean"))
+    if model is None:
+        return scored.select("doc_id", "source", "language", "score", F.lit(False).alias("flagged"))
+    odds = F.greatest(F.least(F.col("score"), F.lit(1 - 1e-6)), F.lit(1e-6))
+    place = F.greatest(F.lit(0), F.least(F.lit(len(GRID)), F.floor((F.log(odds / (1 - odds)) + 6) * 20) + 1)).cast("int")
+    counts = scored.where("has").groupBy("language", place.alias("upto")).agg(F.count(F.lit(1)).alias("n")).collect()  # languages by GRID
+    passing = {r["language"]: np.zeros(len(GRID) + 1) for r in counts}
+    for r in counts:
+        passing[r["language"]][r["upto"]] += r["n"]
+    # from documents by how many scores of the grid they reach, to documents that reach each; the first stands for all
+    passing = {k: np.concatenate([[v.sum()], np.cumsum(v[::-1])[::-1][2:]]) for k, v in passing.items()}
+    own, others = model.thresholds(passing)
+    least = F.coalesce(F.create_map(*[F.lit(x) for kv in own.items() for x in kv])[F.col("language")], F.lit(others)) if own else F.lit(others)
+    return scored.select("doc_id", "source", "language", "score", (F.col("has") & (F.col("score") >= least)).alias("flagged"))
 
 
 def rates(scored: DataFrame) -> DataFrame:

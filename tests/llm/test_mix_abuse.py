@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from plumbline.llm.abuse import CnnParams, Reader, doubtful_labels, fit, guess_language, hash_word, rates, score_documents
+from plumbline.llm.abuse import GRID, CnnParams, Reader, best_threshold, doubtful_labels, fit, guess_language, hash_word, rates, score_documents
 from plumbline.llm.mixing import TOKENIZER, block_size, mix_sources, pfair_slots, quotas, token_counts
 
 
@@ -112,11 +112,28 @@ def test_doubts_need_evidence():
     assert every[target == 1].mean() <= p.most_doubted and every[target == 0].mean() <= p.most_doubted
 
 
+def _flags(model, scores, language):
+    passing = np.array([(scores >= g).sum() for g in GRID])
+    passing[0] = len(scores)
+    own, others = model.thresholds({language: passing})
+    return scores >= own.get(language, others)
+
+
+def test_threshold_follows_the_share_among_all_documents():
+    rng = np.random.default_rng(1)
+    odds = lambda mean, n: 1 / (1 + np.exp(-rng.normal(mean, 1.2, n)))
+    held, likely = np.concatenate([odds(2, 300), odds(-2, 700)]), np.repeat([1.0, 0.0], [300, 700])
+    count = lambda x: np.array([(x >= g).sum() for g in GRID])
+    as_labelled = best_threshold(held, likely, count(np.concatenate([odds(2, 3000), odds(-2, 7000)])))
+    rare = best_threshold(held, likely, count(np.concatenate([odds(2, 200), odds(-2, 9800)])))
+    assert 0.3 < as_labelled < 0.7 < rare
+
+
 def test_few_labels_still_flag():
     rng = random.Random(3)
     train, held = _texts(48, rng), _texts(200, rng)
     model = fit([t for t, _ in train], np.array([float(y) for _, y in train]), ["en"] * 48, CnnParams(rows=4096, least_steps=120))
-    flags, truth = model.flagged(model.scores([t for t, _ in held]), ["en"] * 200), np.array([y for _, y in held])
+    flags, truth = _flags(model, model.scores([t for t, _ in held]), "en"), np.array([y for _, y in held])
     assert (flags & truth).sum() > 0.8 * truth.sum() and (flags & ~truth).sum() < 0.2 * truth.sum()
     one = fit(["bad", "good"], np.array([1.0, 0.0]), ["en", "en"], CnnParams(rows=64, least_steps=5))
     assert len(one.scores(["bad", None])) == 2
@@ -127,7 +144,7 @@ def test_held_out_accuracy(spark):
     train, held = _texts(600, rng), _texts(200, rng)
     votes = np.array([float(y != (rng.random() < 0.07)) for _, y in train])  # raters err
     model = fit([t for t, _ in train], votes, [guess_language(t, None) for t, _ in train], CnnParams(epochs=5, rows=4096, least_steps=0))
-    flags = model.flagged(model.scores([t for t, _ in held]), ["en"] * len(held))
+    flags = _flags(model, model.scores([t for t, _ in held]), "en")
     assert np.mean(flags == np.array([y for _, y in held])) > 0.97
     docs = [(i, t, "en", " Web " if i % 2 else None, 1) for i, (t, _) in enumerate(train[:300])] + [(900, None, None, "web", 1), (901, "", "xx", "web", 1)]
     df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, score int")
