@@ -19,24 +19,29 @@ def _seeds(spark, d):
     return table(spark, d, "part").where("p_size = 1").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("label"))
 
 
+def _everything(spark, d):
+    """All parts, and suppliers under negative numbers: these stand in no edge."""
+    return table(spark, d, "part").select(F.col("p_partkey").alias("id")).unionByName(table(spark, d, "supplier").select((-F.col("s_suppkey")).alias("id")))
+
+
 def gra_01_edges(spark, d):
     """GRA-01, GRA-15: the distinct edges."""
     return followers(spark, d)
 
 
 def gra_02_pagerank(spark, d):
-    """GRA-02: PageRank, up to 100 rounds, until the summed change is below n * 1e-6."""
-    return G.pagerank(followers(spark, d)).select("id", F.round("rank", 9).alias("rank"))
+    """GRA-02: PageRank, vertices without edges included, up to 100 rounds, until the summed change is below n * 1e-6."""
+    return G.pagerank(followers(spark, d), nodes=_everything(spark, d)).select("id", F.round("rank", 9).alias("rank"))
 
 
 def gra_03_degrees(spark, d):
-    """GRA-03."""
-    return G.degrees(followers(spark, d))
+    """GRA-03: degrees, vertices without edges included."""
+    return G.degrees(followers(spark, d), _everything(spark, d))
 
 
 def gra_04_cores(spark, d):
-    """GRA-04: core numbers."""
-    return G.core_numbers(followers(spark, d))
+    """GRA-04: core numbers, vertices without edges included."""
+    return G.core_numbers(followers(spark, d), _everything(spark, d))
 
 
 def gra_05_betweenness(spark, d):
@@ -45,8 +50,8 @@ def gra_05_betweenness(spark, d):
 
 
 def gra_06_communities(spark, d):
-    """GRA-06: label propagation, five rounds."""
-    return G.label_propagation(followers(spark, d), rounds=5)
+    """GRA-06: communities by modularity, vertices without edges included."""
+    return G.communities(followers(spark, d), _everything(spark, d))
 
 
 def gra_07_lineage(spark, d):
@@ -69,7 +74,7 @@ def gra_09_coupling(spark, d):
 def gra_10_coauthors(spark, d):
     """GRA-10: authors typed for the same work."""
     p = table(spark, d, "candidate_papers").where("openalex_id <> ''")
-    return G.shared_pairs(p, "first_author", "openalex_id", hub=None)
+    return G.shared_pairs(p, "first_author", "openalex_id")
 
 
 def gra_11_adjacency(spark, d):
@@ -83,8 +88,8 @@ def gra_12_support(spark, d):
 
 
 def gra_14_generations(spark, d):
-    """GRA-14."""
-    return G.generations(followers(spark, d))
+    """GRA-14: generations, vertices without edges included."""
+    return G.generations(followers(spark, d), _everything(spark, d))
 
 
 def gra_16_lineage_links(spark, d):
@@ -147,33 +152,45 @@ _V = "v AS MATERIALIZED (SELECT src AS id FROM e UNION SELECT dst FROM e)"
 _S = "s AS (SELECT p_partkey AS id, p_brand AS label FROM part WHERE p_size = 1)"
 
 
+_ALL = "v AS MATERIALIZED (SELECT p_partkey AS id FROM part UNION SELECT -s_suppkey FROM supplier UNION SELECT src FROM e UNION SELECT dst FROM e)"
+
+
 def _pagerank_sql(rounds: int) -> str:
-    parts = [_E, _V, "o AS MATERIALIZED (SELECT src, count(*) AS out FROM e GROUP BY src)", "n AS (SELECT count(*)::DOUBLE AS n FROM v)", "r0 AS MATERIALIZED (SELECT id, 1.0::DOUBLE / (SELECT n FROM n) AS rank FROM v)"]
+    """Rounds up to the first whose summed change is below n * 1e-6."""
+    parts = [_E, _ALL, "o AS MATERIALIZED (SELECT src, count(*) AS out FROM e GROUP BY src)", "n AS (SELECT count(*)::DOUBLE AS n FROM v)", "r0 AS MATERIALIZED (SELECT id, 1.0::DOUBLE / (SELECT n FROM n) AS rank FROM v)"]
     for i in range(rounds):
         parts.append(
             f"r{i + 1} AS MATERIALIZED (SELECT v.id, 0.15 / (SELECT n FROM n) + 0.85 * coalesce((SELECT sum(rank) FROM r{i} WHERE id NOT IN (SELECT src FROM o)), 0) / (SELECT n FROM n) + 0.85 * coalesce(g, 0) AS rank "
             f"FROM v LEFT JOIN (SELECT dst AS id, sum(rank / out) AS g FROM e JOIN r{i} ON r{i}.id = e.src JOIN o USING (src) GROUP BY dst) USING (id))"
         )
-    return "WITH " + ", ".join(parts) + f" SELECT id, round(rank, 9) AS rank FROM r{rounds}"
+    changes = " UNION ALL ".join(f"SELECT {i + 1} AS k, sum(abs(a.rank - b.rank)) AS c FROM r{i + 1} a JOIN r{i} b USING (id)" for i in range(rounds))
+    parts.append(f"pick AS (SELECT min(k) AS k FROM ({changes}) WHERE c < (SELECT n FROM n) * 1e-6)")
+    return "WITH " + ", ".join(parts) + " " + " UNION ALL ".join(f"SELECT id, round(rank, 9) AS rank FROM r{i + 1} WHERE (SELECT k FROM pick) = {i + 1}" for i in range(rounds))
+
+
+def _reach_sql(label: str, seeds: str, edges: str, depth: int = 4) -> str:
+    """d0 to d4: what is met after so many steps; m: the least of them."""
+    steps = [f"d0 AS MATERIALIZED (SELECT DISTINCT {seeds} AS {label}, id, 0 AS d FROM s)"]
+    steps += [f"d{k} AS MATERIALIZED (SELECT DISTINCT {label}, y AS id, {k} AS d FROM d{k - 1} JOIN ({edges}) ON x = id)" for k in range(1, depth + 1)]
+    return ", ".join(steps) + f", m AS (SELECT {label}, id, min(d) AS d FROM (" + " UNION ALL ".join(f"SELECT * FROM d{k}" for k in range(depth + 1)) + ") GROUP BY ALL)"
 
 
-def _pairs_sql(m: str, g: str, least: int, hub: int | None, t: str, where: str = "") -> str:
-    cap = f" WHERE g IN (SELECT g FROM p0 GROUP BY g HAVING count(*) <= {hub})" if hub else ""
-    return f"WITH p0 AS MATERIALIZED (SELECT DISTINCT {m} AS m, {g} AS g FROM {t} WHERE {m} IS NOT NULL AND {g} IS NOT NULL {where}), p AS MATERIALIZED (SELECT * FROM p0{cap}) SELECT x.m AS a, y.m AS b, count(*) AS weight FROM p x JOIN p y ON x.g = y.g AND x.m < y.m GROUP BY ALL HAVING count(*) >= {least}"
+def _pairs_sql(m: str, g: str, least: int, t: str, where: str = "") -> str:
+    return f"WITH p AS MATERIALIZED (SELECT DISTINCT {m} AS m, {g} AS g FROM {t} WHERE {m} IS NOT NULL AND {g} IS NOT NULL {where}) SELECT x.m AS a, y.m AS b, count(*) AS weight FROM p x JOIN p y ON x.g = y.g AND x.m < y.m GROUP BY ALL HAVING count(*) >= {least}"
 
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.startswith(("gra_", "agg_30"))}
 ORACLE = {
     "gra_01_edges": f"WITH {_E} SELECT src, dst FROM e",
-    "gra_02_pagerank": _pagerank_sql(10),
-    "gra_03_degrees": f"WITH {_E}, x AS (SELECT src AS id, 1 AS o, 0 AS i FROM e UNION ALL SELECT dst, 0, 1 FROM e) SELECT id, sum(i) AS in_degree, sum(o) AS out_degree, count(*) AS degree FROM x GROUP BY id",
-    "gra_07_lineage": f"WITH {_E}, {_S}, d0 AS (SELECT id AS seed, id, 0 AS d FROM s), d1 AS (SELECT DISTINCT seed, src AS id, 1 AS d FROM d0 JOIN e ON dst = id), d2 AS (SELECT DISTINCT seed, src AS id, 2 AS d FROM d1 JOIN e ON dst = id), m AS (SELECT seed, id, min(d) AS d FROM (SELECT * FROM d0 UNION ALL SELECT * FROM d1 UNION ALL SELECT * FROM d2) GROUP BY ALL) SELECT id, min(d) AS min_seed_distance, count(*) AS seeds_reached, round(sum(pow(0.7, d)), 6) AS lineage FROM m GROUP BY id",
-    "gra_08_cocitation": _pairs_sql("l_suppkey", "l_orderkey", 2, 200, "lineitem"),
-    "gra_09_coupling": _pairs_sql("l_orderkey", "l_partkey", 2, 200, "lineitem"),
-    "gra_10_coauthors": _pairs_sql("first_author", "openalex_id", 1, None, "candidate_papers", "AND openalex_id <> ''"),
+    "gra_02_pagerank": _pagerank_sql(40),
+    "gra_03_degrees": f"WITH {_E}, {_ALL}, x AS (SELECT src AS id, 1 AS o, 0 AS i FROM e UNION ALL SELECT dst, 0, 1 FROM e UNION ALL SELECT id, 0, 0 FROM v) SELECT id, sum(i) AS in_degree, sum(o) AS out_degree, sum(i + o) AS degree FROM x GROUP BY id",
+    "gra_07_lineage": f"WITH {_E}, {_S}, {_reach_sql('seed', 'id', 'SELECT dst AS x, src AS y FROM e')} SELECT id, min(d) AS min_seed_distance, count(*) AS seeds_reached, round(sum(pow(0.7, d)), 6) AS lineage FROM m GROUP BY id",
+    "gra_08_cocitation": _pairs_sql("l_suppkey", "l_orderkey", 2, "lineitem"),
+    "gra_09_coupling": _pairs_sql("l_orderkey", "l_partkey", 2, "lineitem"),
+    "gra_10_coauthors": _pairs_sql("first_author", "openalex_id", 1, "candidate_papers", "AND openalex_id <> ''"),
     "gra_11_adjacency": f"WITH {_E}, {_U} SELECT src, dst FROM u",
-    "gra_12_support": f"WITH {_E}, {_U}, {_S}, d0 AS (SELECT DISTINCT label, id, 0 AS d FROM s), d1 AS (SELECT DISTINCT label, dst AS id, 1 AS d FROM d0 JOIN u ON src = id), d2 AS (SELECT DISTINCT label, dst AS id, 2 AS d FROM d1 JOIN u ON src = id), m AS (SELECT label, id, min(d) AS dist FROM (SELECT * FROM d0 UNION ALL SELECT * FROM d1 UNION ALL SELECT * FROM d2) GROUP BY ALL) SELECT id, label, dist, round(pow(0.65, dist - 1), 6) AS support FROM m WHERE dist > 0",
-    "gra_14_generations": f"WITH RECURSIVE {_E}, {_V}, r(id, d) USING KEY (id) AS (SELECT id, 0 AS d FROM v WHERE id NOT IN (SELECT src FROM e) UNION SELECT e.src, min(r.d) + 1 FROM r JOIN e ON e.dst = r.id WHERE e.src NOT IN (SELECT id FROM recurring.r) GROUP BY e.src) SELECT v.id, coalesce(d, 0) AS generation FROM v LEFT JOIN r USING (id)",
+    "gra_12_support": f"WITH {_E}, {_U}, {_S}, {_reach_sql('label', 'label', 'SELECT src AS x, dst AS y FROM u')} SELECT id, label, d AS dist, round(pow(0.65, d - 1), 6) AS support FROM m WHERE d > 0",
+    "gra_14_generations": f"WITH RECURSIVE {_E}, {_ALL}, r(id, d) USING KEY (id) AS (SELECT id, 0 AS d FROM v WHERE id NOT IN (SELECT src FROM e) UNION SELECT e.src, min(r.d) + 1 FROM r JOIN e ON e.dst = r.id WHERE e.src NOT IN (SELECT id FROM recurring.r) GROUP BY e.src) SELECT v.id, coalesce(d, 0) AS generation FROM v LEFT JOIN r USING (id)",
     "gra_16_lineage_links": f"WITH {_E} SELECT src, dst, count(*) OVER (PARTITION BY dst) AS strength FROM e",
     "gra_17_shared_with_seeds": f"WITH {_E}, {_U}, {_S}, a AS (SELECT s.id AS seed, dst FROM u JOIN s ON src = s.id) SELECT u.src AS id, count(DISTINCT seed) AS seeds FROM a JOIN u USING (dst) WHERE u.src <> seed GROUP BY 1",
     "gra_18_related": f"WITH {_E}, {_U}, {_S}, o AS (SELECT s.id, dst AS mid FROM u JOIN s ON src = s.id) SELECT o.id, u.dst AS related, count(*) AS ways FROM o JOIN u ON u.src = mid WHERE u.dst <> o.id AND (o.id, u.dst) NOT IN (SELECT id, mid FROM o) GROUP BY ALL HAVING count(*) >= 3",

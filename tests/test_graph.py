@@ -60,7 +60,11 @@ def test_pairs(spark):
     coupling = {(r.a, r.b): r.weight for r in G.shared_pairs(cites, "src", "dst").collect()}
     assert coupling == {("P", "Q"): 2, ("P", "R"): 1, ("Q", "R"): 1}
     assert {(r.a, r.b): r.weight for r in G.shared_pairs(cites, "dst", "src").collect()} == {("X", "Y"): 2}
-    assert G.shared_pairs(cites, "src", "dst", hub=2).count() == 1
+    assert {(r.a, r.b): r.weight for r in G.shared_pairs(cites, "src", "dst", block=1).collect()} == coupling
+    crowd = spark.createDataFrame([(i, "g") for i in range(50)], "m long, g string")
+    for block in (7, 1000):
+        got = G.shared_pairs(crowd, "m", "g", block=block).collect()
+        assert len({(r.a, r.b) for r in got}) == len(got) == 50 * 49 // 2 and all(r.weight == 1 and r.a < r.b for r in got)
 
 
 def test_betweenness_is_exact_with_all_pivots(spark):
@@ -108,7 +112,27 @@ def test_queries_reach_four_steps(spark, tmp_path):
     assert {r.id: r.dist for r in graphs.gra_12_support(spark, str(tmp_path)).collect()} == {5: 1, 4: 2, 3: 3, 2: 4}
 
 
-def test_communities_are_repeatable(spark):
-    clique = [(a, b) for a in range(5) for b in range(5) if a < b] + [(a, b) for a in range(10, 15) for b in range(10, 15) if a < b] + [(4, 10)]
-    got = {r.id: r.community for r in G.label_propagation(_edges(spark, clique), 5).collect()}
-    assert len({got[i] for i in range(4)}) == 1 and len({got[i] for i in range(11, 15)}) == 1 and got[0] != got[14]
+def test_communities(spark):
+    ring = []
+    for c in range(6):
+        ring += [(10 * c + a, 10 * c + b) for a in range(5) for b in range(5) if a < b] + [(10 * c + 4, 10 * (c + 1) % 60)]
+    e = _edges(spark, ring)
+    got = {r.id: r.community for r in G.communities(e, spark.createDataFrame([(99,)], "id long")).collect()}
+    assert got == {**{10 * c + a: 10 * c for c in range(6) for a in range(5)}, 99: 99}
+    links = G.both_ways(e).withColumn("w", G.F.lit(1.0))
+    parts = spark.createDataFrame([(i, c) for i, c in got.items()], "id long, community long")
+    m = 6 * 10 + 6
+    assert G.modularity(links, parts) == pytest.approx(6 * (10 / m - (22 / (2 * m)) ** 2))
+    assert G.communities(e.limit(0)).count() == 0
+
+
+def test_vertices_without_edges(spark):
+    e = spark.createDataFrame([("B", "A"), ("C", "B"), ("C", "A")], "src string, dst string")
+    nodes = spark.createDataFrame([("A",), ("Z",), ("Z",), (None,)], "id string")
+    rank = {r.id: r.rank for r in G.pagerank(e, nodes=nodes, tol=1e-12).collect()}
+    assert set(rank) == set("ABCZ") and sum(rank.values()) == pytest.approx(1) and rank["Z"] == pytest.approx(rank["C"])
+    assert {r.id: r.degree for r in G.degrees(e, nodes).collect()} == {"A": 2, "B": 2, "C": 2, "Z": 0}
+    assert {r.id: r.core for r in G.core_numbers(e, nodes).collect()} == {"A": 2, "B": 2, "C": 2, "Z": 0}
+    assert {r.id: r.generation for r in G.generations(e, nodes).collect()} == {"A": 0, "B": 1, "C": 1, "Z": 0}
+    assert {r.id: r.component for r in G.components(e, nodes).collect()} == {"A": "A", "B": "A", "C": "A", "Z": "Z"}
+    assert {r.id: r.betweenness for r in G.betweenness(e, nodes=nodes).collect()}["Z"] == 0
