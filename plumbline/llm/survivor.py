@@ -8,19 +8,23 @@ the greatest total trust under all dependencies.
 
 Candidates are thinned before any group comes together: of records with the same values of the dependency's fields,
 only the most trusted can be in the best choice, so an aggregate with map-side combining keeps one for each distinct
-value. Bundles that no dependency touches thus have a single candidate, however many records the group has.
+value. Bundles that no dependency touches thus have a single candidate, however many records the group has. The first
+bound is also worked out by an aggregate: taking all tied bundles from one record is always allowed, so a candidate that
+cannot reach the best such total, even beside the most trusted candidates of the other bundles, never comes together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import col, fresh, is_missing
+from plumbline.functions.columns import col, is_missing
+from plumbline.session import cut
 
 
 @dataclass(frozen=True)
@@ -105,13 +109,25 @@ def best_representative(df: DataFrame, key: str, ident: str, when: str, bundles:
     records = df.where(col(key).isNotNull() & col(ident).isNotNull())
     offered = records.select(col(key).alias("k"), F.explode(F.array_compact(F.array(*offers))).alias("o"))
     thinned = offered.groupBy("k", F.col("o.b").alias("b"), F.col("o.tie").alias("tie")).agg(F.max("o.trust").alias("trust"))
+    tied = [i for i, b in enumerate(bundles) if inside[b.name]]
+    if dependencies:
+        thinned = _within_bound(thinned, records.select(col(key).alias("k"), *[offers[i].alias(f"o{i}") for i in tied]), tied, [b.weight for b in bundles])
     grouped = thinned.groupBy("k").agg(F.collect_list(F.struct("b", "tie", "trust")).alias("c"))
     if least_records > 1:
         sizes = records.groupBy(col(key).alias("k")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_records).select("k")
         grouped = grouped.join(sizes, "k", "left_semi")
     if dependencies:
-        pairs = F.array(*[F.struct(F.lit(i).alias("d"), F.coalesce(col(d.determinant).cast("string"), F.lit("")).alias("x"), F.coalesce(col(d.dependent).cast("string"), F.lit("")).alias("y")) for i, d in enumerate(dependencies)])
-        seen = records.select(col(key).alias("k"), F.explode(pairs).alias("p")).distinct().groupBy("k").agg(F.collect_list("p").alias("seen"))
+        text = lambda name: F.coalesce(col(name).cast("string"), F.lit(""))
+        pairs = F.array(*[F.struct(F.lit(i).alias("d"), text(d.determinant).alias("x"), text(d.dependent).alias("y")) for i, d in enumerate(dependencies)])
+        seen = records.select(col(key).alias("k"), F.explode(pairs).alias("p")).distinct().select("k", "p.d", "p.x", "p.y")
+        # only pairs of values that are still candidates
+        place = {f: (i, inside[b.name].index(f)) for i, b in enumerate(bundles) for f in inside[b.name]}
+        value = lambda f: F.when(F.col("b") == place[f][0], F.col("tie")[place[f][1]])
+        for side, fields in (("x", [d.determinant for d in dependencies]), ("y", [d.dependent for d in dependencies])):
+            own = F.array(*[F.struct(F.lit(i).alias("d"), value(f).alias(side)) for i, f in enumerate(fields)])
+            left = thinned.select("k", F.explode(own).alias("v")).select("k", "v.d", f"v.{side}").where(F.col(side).isNotNull()).distinct()
+            seen = seen.join(left, ["k", "d", side], "left_semi")
+        seen = seen.groupBy("k").agg(F.collect_list(F.struct("d", "x", "y")).alias("seen"))
         grouped = grouped.join(seen, "k", "left")
     else:
         grouped = grouped.withColumn("seen", F.lit(None).cast("array<struct<d:int,x:string,y:string>>"))
@@ -152,6 +168,19 @@ def best_representative(df: DataFrame, key: str, ident: str, when: str, bundles:
     return solved.select(F.col("k").alias(key), F.col("b").alias("bundle"), F.col("i").alias(ident))
 
 
+def _within_bound(thinned: DataFrame, records: DataFrame, tied: Sequence[int], weights: Sequence[int]) -> DataFrame:
+    """Candidates that can reach the best total that a single record gives. Identifiers, the last part of a trust, count
+    for less than one unit here, so the bound is loosened by one for each unit of weight."""
+    number = lambda t, w: (t["quality"].cast("decimal(20,0)") * F.lit(Decimal(2**65)) + t["at"].cast("decimal(20,0)") + F.lit(Decimal(2**63))).cast("decimal(38,0)") * F.lit(w)
+    sums = records.select("k", *[F.coalesce(number(F.col(f"o{i}")["trust"], weights[i]), F.lit(Decimal(0))).cast("decimal(38,0)").alias(f"v{i}") for i in tied])
+    together = sum((F.col(f"v{i}") for i in tied[1:]), F.col(f"v{tied[0]}")).cast("decimal(38,0)")
+    bounds = sums.groupBy("k").agg(F.max(together).alias("reached"), *[F.max(f"v{i}").alias(f"top{i}") for i in tied])
+    others = {i: sum((F.col(f"top{j}") for j in tied if j != i), F.lit(Decimal(0))) for i in tied}
+    own = F.coalesce(*[F.when(F.col("b") == i, number(F.col("trust"), weights[i]) + others[i]) for i in tied])
+    loose = thinned.where(F.col("b").isin(*tied)).join(bounds, "k").where(F.coalesce(own + sum(weights) >= F.col("reached"), F.lit(True)))
+    return thinned.where(~F.col("b").isin(*tied)).unionByName(loose.select(*thinned.columns))
+
+
 # --- what makes a value whole -----------------------------------------------------------------------------------
 
 #: Notices that stand in for an abstract.
@@ -186,10 +215,8 @@ def own_abstract(abstract: Column, title: Column) -> Column:
     return F.when(bare != "", bare)
 
 
-def is_whole(abstract: Column, longest: Column) -> Column:
-    """The abstract as it stands is ``longest``, the longest bare text of its group, and that ends as a sentence does."""
-    as_it_stands = F.regexp_replace(abstract, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
-    return F.coalesce((as_it_stands == longest) & longest.rlike(r"[.!?][\"'\)\]\x{201d}\x{2019}]*$"), F.lit(False))
+def ends_a_sentence(text: Column) -> Column:
+    return text.rlike(r"[.!?][\"'\)\]\x{201d}\x{2019}]*$")
 
 
 def filler_number(c: Column) -> Column:
@@ -203,25 +230,31 @@ def well_formed_ids(c: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(c, F.lit(r"(?<![^\s;,|\"\[])(?:https?:\/\/[a-z.]+\/)?(W\d{11})(?=[\s;,|\"\]]|$)"), 1))
 
 
-def with_group_facts(df: DataFrame, key: str, when: str, abstract: str, title: str, count: str, least_records: int = 2) -> DataFrame:
-    """``df`` with what the whole group says of each record: columns ``whole`` and ``counted`` (booleans).
+def with_group_facts(df: DataFrame, key: str, ident: str, when: str, abstract: str, title: str, count: str, kept: Mapping[str, Column], least_records: int = 2) -> DataFrame:
+    """``key``, ``ident``, ``when`` and ``kept`` of every record, and what the whole group says of it: columns ``whole``
+    and ``counted`` (booleans).
+
+    ``whole``: the abstract is the group's complete one and nothing else: as it stands it is the longest bare text, and
+    that ends as a sentence does. ``counted``: the count is real, so it is neither NULL, negative nor a filler, nor 0
+    after an earlier real count above 0. Groups below ``least_records`` are left out.
 
-    ``whole``: the abstract is the group's complete one and nothing else. ``counted``: the count is real, so it is
-    neither NULL, negative nor a filler, nor 0 after an earlier real count above 0. Groups below ``least_records`` are
-    left out. The group's facts are one aggregate, combined in every map task, with one row for each key; joined back,
-    a key that fills a third of the rows is split by the engine's skew handling.
+    Texts are read once: what is written to the checkpoint folder holds a digest and the length of the bare text instead.
+    The group's facts are one aggregate over that, combined in every map task, with one row for each key; joined back, a
+    key that fills a third of the rows is split by the engine's skew handling.
     """
-    bare, real, k, longest, above, n = fresh(df, "bare", "real", "k", "longest", "above", "n")
-    number = col(count)
-    noted = df.withColumn(bare, own_abstract(col(abstract), col(title))).withColumn(real, F.coalesce((number >= 0) & ~filler_number(number), F.lit(False)))
-    size = F.when(F.col(bare).isNotNull(), F.struct(F.length(bare).alias("l"), F.col(bare).alias("t")))
-    facts = noted.where(col(key).isNotNull()).groupBy(col(key).alias(k)).agg(
-        F.max(size)["t"].alias(longest), F.min(F.when(F.col(real) & (number > 0), col(when))).alias(above), F.count(F.lit(1)).alias(n)
-    )
-    joined = noted.join(facts.where(F.col(n) >= least_records), col(key) == F.col(k))
-    late_zero = F.coalesce((number == 0) & (col(when) > F.col(above)), F.lit(False))
-    return (
-        joined.withColumn("whole", F.col(bare).isNotNull() & is_whole(col(abstract), F.col(longest)))
-        .withColumn("counted", F.col(real) & ~late_zero)
-        .drop(bare, real, k, longest, above, n)
-    )
+    number, k = col(count), col(key)
+    bare = own_abstract(col(abstract), col(title))
+    as_it_stands = F.regexp_replace(col(abstract), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    read = df.where(k.isNotNull()).select(
+        k.alias("k"), col(ident).alias("i"), col(when).alias("w"), number.alias("c"), bare.alias("bare"), as_it_stands.alias("stands"), *[c.alias(f"kept_{n}") for n, c in kept.items()]
+    )
+    size = F.when(F.col("bare").isNotNull(), F.struct(F.length("bare").alias("l"), F.md5("bare").alias("d")))
+    alone = F.coalesce((F.col("stands") == F.col("bare")) & ends_a_sentence(F.col("bare")), F.lit(False))
+    real = F.coalesce((F.col("c") >= 0) & ~filler_number(F.col("c")), F.lit(False))
+    noted = cut(read.select("k", "i", "w", "c", size.alias("size"), alone.alias("alone"), real.alias("real"), *[f"kept_{n}" for n in kept]))
+    facts = noted.groupBy("k").agg(F.max("size").alias("longest"), F.min(F.when(F.col("real") & (F.col("c") > 0), F.col("w"))).alias("above"), F.count(F.lit(1)).alias("n"))
+    joined = noted.join(facts.where(F.col("n") >= least_records), "k")
+    late_zero = F.coalesce((F.col("c") == 0) & (F.col("w") > F.col("above")), F.lit(False))
+    whole = F.coalesce(F.col("alone") & (F.col("size") == F.col("longest")), F.lit(False))
+    out = joined.select(F.col("k").alias(key), F.col("i").alias(ident), F.col("w").alias(when), whole.alias("whole"), (F.col("real") & ~late_zero).alias("counted"), *[F.col(f"kept_{n}").alias(n) for n in kept])
+    return cut(out)

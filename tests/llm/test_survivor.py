@@ -51,7 +51,8 @@ ROWS = [
 
 def test_facts_and_choice(spark):
     df = spark.createDataFrame(ROWS, "k string, id bigint, at string, n bigint, longest string, bare string").withColumn("at", F.to_timestamp("at"))
-    noted = with_group_facts(df, "k", "at", "longest", "bare", "n")
+    noted = with_group_facts(df, "k", "id", "at", "longest", "bare", "n", {"size": F.length("longest")})
+    assert noted.columns == ["k", "id", "at", "whole", "counted", "size"]
     assert {r.id: (r.whole, r.counted) for r in noted.collect()} == {
         1: (True, True), 2: (False, False), 3: (False, True), 4: (False, False), 5: (False, False), 6: (False, True), 7: (False, True)
     }
@@ -73,3 +74,24 @@ def test_dependency_forces_consistent_bundles(spark):
 def test_ids(spark):
     df = spark.createDataFrame([("https://r.example/W12345678901;W12345678901,W1 A12345678901", ), (None,)], "x string")
     assert [r[0] for r in df.select(well_formed_ids(F.col("x"))).collect()] == [["W12345678901"], None]
+
+
+def test_bounded_candidates_give_the_best_choice(spark):
+    rng = random.Random(6)
+    rows = [(f"k{rng.randrange(40)}", i, rng.randrange(60), rng.choice([None, "a", "b", "c", "d"]), rng.choice([None, 1, 2, 3])) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, id bigint, at int, x string, y int").withColumn("at", F.timestamp_seconds("at"))
+    bundles = [Bundle("x", ("x",), F.col("x").isNotNull(), weight=2), Bundle("y", ("y",), F.col("y").isNotNull())]
+    got = {}
+    for r in best_representative(df, "k", "id", "at", bundles, [Dependency("x", "y")], least_records=1).collect():
+        got.setdefault(r.k, {})[r.bundle] = r.id
+    at, xs, ys = {r[1]: r[2] for r in rows}, {r[1]: r[3] for r in rows}, {r[1]: r[4] for r in rows}
+    for k in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == k]
+        together = {(r[3], r[4]) for r in own}
+        whole = [(2 * at[i] + at[j], -2 * i - j) for i in (r[1] for r in own if r[3]) for j in (r[1] for r in own if r[4]) if (xs[i], ys[j]) in together]
+        if whole:
+            i, j = got[k]["x"], got[k]["y"]
+            assert (xs[i], ys[j]) in together and (2 * at[i] + at[j], -2 * i - j) == max(whole)
+    # a hot key: thousands of different values, of which few can be in the best choice
+    hot = spark.range(5000).select(F.lit("h").alias("k"), "id", F.timestamp_seconds("id").alias("at"), F.concat(F.lit("x"), "id").alias("x"), F.col("id").cast("int").alias("y"))
+    assert {(r.bundle, r.id) for r in best_representative(hot, "k", "id", "at", bundles, [Dependency("x", "y")]).collect()} == {("x", 4999), ("y", 4999)}
