@@ -200,9 +200,13 @@ CUT_MARKS = r"(?:\x{2026}|\.\.\.|\[\s*(?:truncated|\x{2026}|\.\.\.|more)\s*\]|\(
 _FURNITURE_SENTENCE = r"(?i)(?:" + "|".join(FURNITURE) + r")[^.]*(?:\.|$)"
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _has_any(text: Column, phrases: Sequence[str]) -> Column:
-    low = F.lower(text)
-    return reduce(Column.__or__, [low.contains(x.lower()) for x in phrases])
+    return _bound(F.lower(text), lambda low: reduce(Column.__or__, [low.contains(x.lower()) for x in phrases]))
 
 
 def bare_abstract(text: Column) -> Column:
@@ -210,9 +214,13 @@ def bare_abstract(text: Column) -> Column:
 
     Patterns run only on texts that hold what they look for, which a plain search tells at a fraction of their cost.
     """
-    bare = F.when(text.contains("<"), F.regexp_replace(text, r"<\/?[A-Za-z][^<>]*>", "")).otherwise(text)
-    bare = F.when(_has_any(bare, FURNITURE), F.regexp_replace(bare, _FURNITURE_SENTENCE, "")).otherwise(bare)
-    bare = F.when(_has_any(bare, ("\u2026", "...", "[", "(", "read more")), F.regexp_replace(bare, CUT_MARKS, "")).otherwise(bare)
+
+    def without(x: Column, phrases: Sequence[str], pattern: str) -> Column:
+        return _bound(x, lambda t: F.when(_has_any(t, phrases), F.regexp_replace(t, pattern, "")).otherwise(t))
+
+    bare = without(text, ("<",), r"<\/?[A-Za-z][^<>]*>")
+    bare = without(bare, FURNITURE, _FURNITURE_SENTENCE)
+    bare = without(bare, ("\u2026", "...", "[", "(", "read more"), CUT_MARKS)
     return F.regexp_replace(bare, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
 
 
@@ -223,7 +231,7 @@ def own_abstract(abstract: Column, title: Column) -> Column:
     first = lambda x: F.lower(F.regexp_extract(x, r"[\p{L}\p{N}]+", 0))
     is_title = F.when(first(abstract) == first(title), plain(abstract) == plain(title))
     bare = F.when(~stand_in & ~F.coalesce(is_title, F.lit(False)), bare_abstract(abstract))
-    return F.when(bare != "", bare)
+    return F.nullif(bare, F.lit(""))
 
 
 def ends_a_sentence(text: Column) -> Column:
@@ -254,15 +262,15 @@ def with_group_facts(df: DataFrame, key: str, ident: str, when: str, abstract: s
     key that fills a third of the rows is split by the engine's skew handling.
     """
     number, k = col(count), col(key)
-    bare = own_abstract(col(abstract), col(title))
+    bare = own_abstract(F.col("abstract"), F.col("title"))
     as_it_stands = F.regexp_replace(col(abstract), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
     read = df.where(k.isNotNull()).select(
-        k.alias("k"), col(ident).alias("i"), col(when).alias("w"), number.alias("c"), bare.alias("bare"), as_it_stands.alias("stands"), *[c.alias(f"kept_{n}") for n, c in kept.items()]
+        k.alias("k"), col(ident).alias("i"), col(when).alias("w"), number.alias("c"), col(abstract).alias("abstract"), col(title).alias("title"), as_it_stands.alias("stands"), *[c.alias(f"kept_{n}") for n, c in kept.items()]
     )
-    size = F.when(F.col("bare").isNotNull(), F.struct(F.length("bare").alias("l"), F.md5("bare").alias("d")))
-    alone = F.coalesce((F.col("stands") == F.col("bare")) & ends_a_sentence(F.col("bare")), F.lit(False))
+    facts_of = lambda t: F.struct(F.when(t.isNotNull(), F.struct(F.length(t).alias("l"), F.md5(t).alias("d"))).alias("size"), F.coalesce((F.col("stands") == t) & ends_a_sentence(t), F.lit(False)).alias("alone"))
     real = F.coalesce((F.col("c") >= 0) & ~filler_number(F.col("c")), F.lit(False))
-    noted = cut(read.select("k", "i", "w", "c", size.alias("size"), alone.alias("alone"), real.alias("real"), *[f"kept_{n}" for n in kept]))
+    noted = read.select("k", "i", "w", "c", _bound(bare, facts_of).alias("text"), real.alias("real"), *[f"kept_{n}" for n in kept])
+    noted = cut(noted.select("k", "i", "w", "c", "text.size", "text.alone", "real", *[f"kept_{n}" for n in kept]))
     facts = noted.groupBy("k").agg(F.max("size").alias("longest"), F.min(F.when(F.col("real") & (F.col("c") > 0), F.col("w"))).alias("above"), F.count(F.lit(1)).alias("n"))
     joined = noted.join(facts.where(F.col("n") >= least_records), "k")
     late_zero = F.coalesce((F.col("c") == 0) & (F.col("w") > F.col("above")), F.lit(False))
