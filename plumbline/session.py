@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, driver_memory: str = "12g") -> SparkSession:
-    """A local session as the tests and the bench use it. On a cluster, bring your own session instead."""
+    """A local session as the tests and the bench use it. On a cluster, bring your own session instead.
+
+    Checkpoints that no frame refers to any more are deleted; set the same on a cluster, before its session starts.
+    """
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("plumbline")
@@ -18,6 +21,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, driver_memo
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
