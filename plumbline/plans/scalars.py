@@ -17,7 +17,7 @@ def prj_03_flags(spark, d):
 
 
 def prj_04_weighted(spark, d):
-    """PRJ-04, PRJ-05, PRJ-06: a weighted sum of features."""
+    """PRJ-04: a weighted sum of features."""
     t = table(spark, d, "core_corpus_tracked")
     x = lambda c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0))
     return t.select("row_id", F.round(3 * x("score_total") + 2 * x("paper_importance_score") + 1.5 * F.log1p(x("citations_per_year_raw")) + 0.5 * x("evidence_strength"), 6).alias("score"))
@@ -31,7 +31,7 @@ def prj_07_rate(spark, d):
 
 
 def prj_10_labels(spark, d):
-    """PRJ-08, PRJ-09, PRJ-10, PRJ-17: labels by priority, and their ordinals."""
+    """PRJ-09, PRJ-10, PRJ-17: labels by priority, and their ordinals."""
     t = table(spark, d, "core_corpus_tracked")
     label = F.when(T.truth(F.col("in_t4_expert_signal")), "T4").when(F.col("core_selection_tier") == "T1", F.when(F.col("all_channels").contains("seed_reference"), "T1-ref").otherwise("T1")).otherwise(F.coalesce("core_selection_tier", F.lit("other")))
     rank = F.create_map(*[F.lit(x) for kv in {"T4": 4, "T1": 3, "T1-ref": 3, "T2": 2}.items() for x in kv])
@@ -72,14 +72,14 @@ def flt_03_missing(spark, d):
 
 
 def flt_05_thresholds(spark, d):
-    """FLT-05 to FLT-09, FLT-20: rows over several thresholds, one of them a group's own quantile."""
+    """FLT-05: rows over several thresholds, one of them a group's own quantile."""
     s = table(spark, d, "scored_papers").select("record_id", "anchor_category", "cross_seed_score", "pagerank")
     q = s.groupBy("anchor_category").agg(F.percentile("pagerank", 0.7).alias("q"))
     return s.join(q, s.anchor_category.eqNullSafe(q.anchor_category)).where((F.col("cross_seed_score") >= 2) & (F.col("pagerank") > F.col("q"))).select("record_id")
 
 
 def flt_11_percentile_filter(spark, d):
-    """FLT-11, FLT-12, IR-06: rows in the upper part of a rank, with other minima."""
+    """FLT-11: rows in the upper part of a rank, with other minima."""
     from plumbline.operators.windows import percentile_ranks
 
     s = percentile_ranks(table(spark, d, "scored_papers").select("record_id", "pagerank", "cross_seed_score", "abstract"), "pagerank", "pct")
@@ -87,17 +87,21 @@ def flt_11_percentile_filter(spark, d):
 
 
 def flt_16_years(spark, d):
-    """FLT-13, FLT-16, MTH-07: plausible years."""
+    """FLT-16, MTH-07: plausible years."""
     y = F.col("publication_year")
     return table(spark, d, "candidate_papers").select("_ord", F.when(y.between(1600, 2100), y).alias("year"), F.coalesce((y > 1970) & (y < 2030), F.lit(False)).alias("recent"))
 
 
 def flt_10_fallback(spark, d):
-    """FLT-10, FLT-19, GOV-06: a filter whose result is replaced by the whole pool if it is empty."""
+    """FLT-10: a filter whose result is replaced by the whole pool if it is empty; one such, and one that isn't."""
     s = table(spark, d, "supplier").select("s_suppkey", "s_acctbal")
-    picked = s.where("s_acctbal > 1e9")
-    n = picked.agg(F.count(F.lit(1)).alias("n"))
-    return picked.unionByName(s.crossJoin(F.broadcast(n)).where("n = 0").select("s_suppkey", "s_acctbal"))
+
+    def or_all(least: float, label: str):
+        picked = s.where(F.col("s_acctbal") > least)
+        n = picked.agg(F.count(F.lit(1)).alias("n"))
+        return picked.unionByName(s.crossJoin(F.broadcast(n)).where("n = 0").select("s_suppkey", "s_acctbal")).withColumn("kind", F.lit(label))
+
+    return or_all(1e9, "none").unionByName(or_all(5000, "some"))
 
 
 def str_01_titles(spark, d):
@@ -111,7 +115,7 @@ def str_03_dois(spark, d):
 
 
 def str_05_hits(spark, d):
-    """STR-05, STR-06, STR-09, SEL-13: terms contained in a text, and a score from wanted and unwanted ones."""
+    """STR-05: terms contained in a text, and a score from wanted and unwanted ones."""
     t = table(spark, d, "documents")
     good, bad = T.term_hits(F.col("text"), ("lesion", "relapse", "fatigue", "imaging")), T.term_hits(F.col("text"), ("mice", "waiting list"))
     return t.select("doc_id", good.alias("wanted"), bad.alias("unwanted"), F.greatest(F.lit(0), good - 2 * bad).alias("score"))
@@ -121,7 +125,7 @@ CATEGORIES = {"imaging": ("imaging", "tomography", "lesion"), "genetics": ("vari
 
 
 def str_07_category(spark, d):
-    """STR-07, STR-08, SEL-14: the category with most hits, the first of equals."""
+    """STR-07: the category with most hits, the first of equals."""
     return table(spark, d, "documents").select("doc_id", T.first_most_hits(F.col("text"), CATEGORIES, "unmapped").alias("category"))
 
 
@@ -136,12 +140,12 @@ def str_12_tokens(spark, d):
 
 
 def str_13_stems(spark, d):
-    """STR-13, STR-14."""
+    """STR-13."""
     return table(spark, d, "eval_items").select(F.explode(T.stemmed_tokens(F.col("item_text"), ("the", "of", "and"))).alias("stem")).groupBy("stem").agg(F.count(F.lit(1)).alias("n"))
 
 
 def str_16_sentences(spark, d):
-    """STR-16, DIS-02, DIS-04: sentences, their number and mean length."""
+    """STR-16: sentences and their number."""
     s = T.sentences(F.col("text"))
     return table(spark, d, "documents").select("doc_id", F.size(s).alias("sentences"), F.coalesce(F.get(s, F.lit(0)), F.lit("")).alias("first"))
 
@@ -159,7 +163,7 @@ def str_18_ratios(spark, d):
 
 
 def str_21_redact(spark, d):
-    """STR-21, STR-22, STR-23, STR-24, STR-25: extraction and masking by patterns."""
+    """STR-21, STR-22, STR-23: extraction and masking by patterns."""
     p = table(spark, d, "candidate_papers")
     url = F.concat(F.lit("https://api.example/w?token=abc&id="), F.coalesce("openalex_id", F.lit("")))
     return p.select("_ord", T.redact(url).alias("url"), F.element_at(F.split(F.coalesce("openalex_id", F.lit("")), "/"), -1).alias("short_id"), F.element_at(F.split(T.squeeze(F.coalesce("first_author", F.lit(""))), " "), -1).alias("last_word"), F.regexp_replace(F.coalesce("title", F.lit("")), r"(?i)^(effect|safety) of ", "").alias("bare_title"))
@@ -186,14 +190,14 @@ def arr_01_inverted(spark, d):
 
 
 def arr_03_json(spark, d):
-    """ARR-03, ARR-04, ARR-05: JSON in text, tolerant."""
+    """ARR-03, ARR-05: JSON in text, tolerant."""
     e = table(spark, d, "events")
     wrapped = F.concat(F.lit("note: "), F.col("props"), F.lit(" end"))
     return e.select("event_id", F.get_json_object(T.json_object_in(wrapped), "$.k").cast("int").alias("k"), F.size(T.json_list(F.col("event_type"))).alias("n"))
 
 
 def arr_07_argmax(spark, d):
-    """ARR-07, ARR-08: the key of a map with the greatest value, the first of equals, and those near it."""
+    """ARR-07: the key of a map with the greatest value, the first of equals, and those near it."""
     li = table(spark, d, "lineitem").groupBy("l_partkey", "l_returnflag").agg(F.sum("l_quantity").alias("q"))
     m = li.groupBy("l_partkey").agg(F.array_sort(F.collect_list(F.struct((-F.col("q")).alias("neg"), F.col("l_returnflag").alias("flag")))).alias("m"))
     best = F.col("m")[0]
@@ -225,7 +229,7 @@ ORACLE = {
     "flt_05_thresholds": "SELECT record_id FROM scored_papers s JOIN (SELECT anchor_category, quantile_cont(pagerank, 0.7) AS q FROM scored_papers GROUP BY 1) g ON s.anchor_category IS NOT DISTINCT FROM g.anchor_category WHERE cross_seed_score >= 2 AND pagerank > q",
     "flt_11_percentile_filter": f"WITH r AS (SELECT *, (rank() OVER (ORDER BY pagerank NULLS LAST) + (count(pagerank) OVER (PARTITION BY pagerank) - 1) / 2.0) / count(pagerank) OVER () AS pct FROM scored_papers) SELECT record_id FROM r WHERE pagerank IS NOT NULL AND pct >= 0.8 AND cross_seed_score >= 1 AND NOT {_M.format('abstract')}",
     "flt_16_years": "SELECT _ord, CASE WHEN publication_year BETWEEN 1600 AND 2100 THEN publication_year END AS year, coalesce(publication_year > 1970 AND publication_year < 2030, false) AS recent FROM candidate_papers",
-    "flt_10_fallback": "SELECT s_suppkey, s_acctbal FROM supplier WHERE s_acctbal > 1e9 OR NOT EXISTS (SELECT 1 FROM supplier WHERE s_acctbal > 1e9)",
+    "flt_10_fallback": "SELECT s_suppkey, s_acctbal, 'none' AS kind FROM supplier WHERE s_acctbal > 1e9 OR NOT EXISTS (SELECT 1 FROM supplier WHERE s_acctbal > 1e9) UNION ALL SELECT s_suppkey, s_acctbal, 'some' FROM supplier WHERE s_acctbal > 5000 OR NOT EXISTS (SELECT 1 FROM supplier WHERE s_acctbal > 5000)",
     "str_01_titles": rf"SELECT _ord, CASE WHEN {_M.format('title')} THEN '' ELSE trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(title), '[^\x00-\x7F]', '', 'g')), '\(.*?preprint.*?\)', ' ', 'g'), '\b(erratum|correction|supplementary|preprint|biorxiv|arxiv|extended version)\b', ' ', 'g'), '[^a-z0-9\s]', ' ', 'g'), '\s+', ' ', 'g')) END AS norm FROM candidate_papers",
     "str_03_dois": f"SELECT _ord, {_DOI.format('doi')} AS norm FROM candidate_papers",
     "str_05_hits": f"WITH h AS (SELECT doc_id, {_HITS(('lesion', 'relapse', 'fatigue', 'imaging'))} AS wanted, {_HITS(('mice', 'waiting list'))} AS unwanted FROM documents) SELECT doc_id, wanted, unwanted, greatest(0, wanted - 2 * unwanted) AS score FROM h",
