@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import col
+from plumbline.operators.order import running_total
 
 
 def mode_smallest(df: DataFrame, group: Sequence[str], value: str, out: str) -> DataFrame:
@@ -23,6 +24,27 @@ def top_k_sum(df: DataFrame, group: Sequence[str], value: str, k: int, out: str)
     return df.where(col(value).isNotNull()).withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).groupBy(*[col(g) for g in group]).agg(F.sum(col(value)).alias(out))
 
 
+def quantiles(df: DataFrame, group: Sequence[str], value: str, at: Sequence[float], out: Sequence[str]) -> DataFrame:
+    """AGG-08, WIN-14: exact quantiles by linear interpolation: one row a group (one in all without ``group``).
+
+    Counts of each group's distinct values are put in one global order by range partitions; a running total tells where
+    each quantile lies, so the values of a group never come together, whatever its size. NULL values don't count; a NULL
+    group is a group.
+    """
+    keys = [f"k{i}" for i in range(len(group))]
+    counts = df.where(col(value).isNotNull()).groupBy(*[col(g).alias(k) for g, k in zip(group, keys)], col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    upto = running_total(counts, [*keys, "v"], "n", "upto")
+    ends = upto.groupBy(*[F.col(k).alias(f"{k}_") for k in keys]).agg(F.max("upto").alias("last"), F.sum("n").alias("total"))
+    same = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys]
+    placed = upto.join(ends, same) if same else upto.crossJoin(F.broadcast(ends))
+    place = F.col("upto") - (F.col("last") - F.col("total"))
+    h = lambda q: (F.col("total") - 1) * F.lit(q)
+    sides = [F.min(F.when(place > side(h(q)), F.col("v"))).alias(f"{name}{i}") for i, q in enumerate(at) for name, side in (("lo", F.floor), ("hi", F.ceil))]
+    found = placed.groupBy(*keys).agg(F.first("total").alias("total"), *sides)
+    between = lambda i, q: F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (h(q) - F.floor(h(q)))
+    return found.select(*[F.col(k).alias(g) for g, k in zip(group, keys)], *[between(i, q).alias(o) for i, (q, o) in enumerate(zip(at, out))])
+
+
 def value_counts(df: DataFrame, value: Column, name: str) -> DataFrame:
     """AGG-09, AGG-10: counts of each value and their share."""
     counts = df.groupBy(value.alias(name)).agg(F.count(F.lit(1)).alias("n"))

@@ -1,8 +1,4 @@
-"""Ranks and normalisations over windows, as column expressions.
-
-Global ranks need a global order. Where the distinct values are far fewer than the rows, ``percentile_ranks`` works on
-value counts and joins back, so only the distinct values are ordered in one place.
-"""
+"""Ranks and normalisations, as column expressions and over running totals of a global order."""
 
 from __future__ import annotations
 
@@ -12,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import col, fresh
+from plumbline.operators.order import running_total
 
 
 def percentile_rank(value: Column, group: Sequence[Column]) -> Column:
@@ -25,16 +22,16 @@ def percentile_rank(value: Column, group: Sequence[Column]) -> Column:
 def percentile_ranks(df: DataFrame, value: str, out: str) -> DataFrame:
     """WIN-01: the same over all rows; 0 for all if no value is above 0.
 
-    Counts of distinct values are aggregated first (map-side); their running sums give the mean rank of every value, and
-    one join brings it back. Rows are never sorted in one place.
+    Counts of distinct values are aggregated first (map-side); their running totals over range partitions give the mean
+    rank of every value, and one join brings it back. Rows are never sorted in one place.
     """
     v, n, upto, total, top = fresh(df, "v", "n", "upto", "total", "top")
     counts = df.where(col(value).isNotNull()).groupBy(col(value).alias(v)).agg(F.count(F.lit(1)).alias(n))
-    running = Window.orderBy(v).rowsBetween(Window.unboundedPreceding, 0)
-    all_ = Window.partitionBy()
-    ranks = counts.select(v, n, F.sum(n).over(running).alias(upto), F.sum(n).over(all_).alias(total), F.max(v).over(all_).alias(top))
+    running = running_total(counts, [v], n, upto)
+    whole = running.agg(F.sum(n).alias(total), F.max(v).alias(top))
     rank = F.when(F.col(top) <= 0, F.lit(0.0)).otherwise((F.col(upto) - (F.col(n) - 1) / 2) / F.col(total))
-    return df.join(ranks.select(v, rank.alias(out)), col(value) == F.col(v), "left").drop(v)
+    ranks = running.crossJoin(F.broadcast(whole)).select(v, rank.alias(out))
+    return df.join(ranks, col(value) == F.col(v), "left").drop(v)
 
 
 def log_max(df: DataFrame, value: str, out: str) -> DataFrame:

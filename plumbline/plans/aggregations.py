@@ -48,7 +48,8 @@ def agg_07_top_k_sum(spark, d):
 
 def agg_08_quantile(spark, d):
     """AGG-08: the 70 % quantile by interpolation."""
-    return table(spark, d, "scored_papers").groupBy("anchor_category").agg(F.round(F.percentile("pagerank", 0.7), 9).alias("q70"))
+    q = A.quantiles(table(spark, d, "scored_papers"), ["anchor_category"], "pagerank", [0.7], ["q70"])
+    return q.select("anchor_category", F.round("q70", 9).alias("q70"))
 
 
 def agg_09_value_counts(spark, d):

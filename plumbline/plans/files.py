@@ -19,7 +19,7 @@ def src_07_latest(spark, d):
 
 
 def src_20_pages(spark, d):
-    """SRC-20, SRC-21: pages made of abstracts, and the best description found in them."""
+    """SRC-20: pages made of abstracts, and the best description found in them."""
     p = table(spark, d, "scored_papers").where(~is_missing(F.col("abstract")))
     plain = F.replace(T.strip_html(F.col("abstract")), F.lit('"'), F.lit(""))
     page = F.concat(F.lit('<html><meta name="description" content="short"><meta name="citation_abstract" content="'), F.replace(plain, F.lit("'"), F.lit("")), F.lit('"></html>'))
@@ -43,7 +43,7 @@ def snk_05_graphml(spark, d):
 
 
 def snk_07_export(spark, d):
-    """SNK-07, SNK-08, PRJ-11: the curated export."""
+    """SNK-07, PRJ-11: the curated export."""
     s = table(spark, d, "scored_papers")
     return s.select("record_id", F.to_json(F.struct(F.coalesce("title", F.lit("")).alias("title"), F.coalesce("publication_year", F.lit(0)).alias("year"), T.normalize_doi(F.col("doi")).alias("doi"))).alias("json"))
 

@@ -125,7 +125,7 @@ def gra_22_positions(spark, d):
 
 
 def gra_26_property_graph(spark, d):
-    """GRA-25, GRA-26: several kinds of nodes and edges in one frame."""
+    """GRA-26: several kinds of nodes and edges in one frame."""
     n, s, c = table(spark, d, "nation"), table(spark, d, "supplier"), table(spark, d, "customer")
     edge = lambda df, a, b, kind: df.select(F.concat(F.lit(a[0] + ":"), F.col(a)).alias("src"), F.concat(F.lit(b[0] + ":"), F.col(b)).alias("dst"), F.lit(kind).alias("kind"))
     return edge(n, "n_nationkey", "n_regionkey", "IN_REGION").unionByName(edge(s, "s_suppkey", "s_nationkey", "FROM")).unionByName(edge(c, "c_custkey", "c_nationkey", "FROM")).distinct()
@@ -142,7 +142,7 @@ def gra_28_components(spark, d):
 
 
 def agg_30_density(spark, d):
-    """AGG-30, SEL-24: density of edges within brands."""
+    """AGG-30: density of edges within brands."""
     return G.density(followers(spark, d), table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("grp")))
 
 

@@ -50,7 +50,7 @@ def ir_01_postings(spark, d):
 
 
 def ir_02_tfidf(spark, d):
-    """IR-02, IR-03: the best documents for every topic label."""
+    """IR-02: the best documents for every topic label."""
     docs = table(spark, d, "documents").where("text is not null")
     queries = table(spark, d, "topic_map").select(F.col("topic_code").alias("query"), F.explode(T.tokenize(F.col("topic_label"))).alias("token")).groupBy("query", "token").agg(F.count(F.lit(1)).alias("qtf"))
     scores = R.tfidf_scores(R.postings(docs, "doc_id", T.tokenize(F.col("text"))), queries, docs.count()).withColumn("score", F.round("score", 6))
@@ -67,7 +67,7 @@ def ir_04_bm25(spark, d):
 
 
 def ir_05_search(spark, d):
-    """IR-05, FLT-15: titles that contain a text."""
+    """IR-05, SRT-08: titles that contain a text."""
     p = table(spark, d, "candidate_papers")
     return R.substring_search(p, F.col("title"), "fatigue", [F.desc_nulls_last("cited_by_count"), F.asc("_ord")]).select("_ord", "title")
 
@@ -111,7 +111,7 @@ def sel_08_tiers(spark, d):
 
 
 def sel_11_cascade(spark, d):
-    """SEL-11, SEL-12, SEL-20: the label from the first of several sources that has one."""
+    """SEL-11: the label from the first of several sources that has one."""
     t = table(spark, d, "core_corpus_tracked")
     own = F.when(~is_missing(F.col("primary_topic_code")), F.upper(F.trim("primary_topic_code")))
     listed = T.topic_code(F.col("topic_codes"))
@@ -119,7 +119,7 @@ def sel_11_cascade(spark, d):
 
 
 def sel_17_next(spark, d):
-    """SEL-16 to SEL-19, SEL-22: of two kinds of neighbours the best five, each neighbour once."""
+    """SEL-17: of two kinds of neighbours the best five, each neighbour once."""
     from plumbline.plans.graphs import followers
 
     e = followers(spark, d)
@@ -148,7 +148,7 @@ def dis_10_checks(spark, d):
 
 
 def gov_01_report(spark, d):
-    """GOV-01, GOV-02, GOV-05: a report by source with flags."""
+    """GOV-02: a report by source with flags."""
     t = table(spark, d, "documents")
     g = t.groupBy(F.lower(F.trim("source")).alias("source")).agg(F.count(F.lit(1)).alias("documents"), F.count_if(is_missing(F.col("lang"))).alias("no_lang"), F.count_if(F.coalesce(F.col("n_chars") != F.length("text"), F.lit(True))).alias("wrong_size"), F.date_format(F.max("fetched_at"), "yyyy-MM-dd HH:mm:ss").alias("latest"))
     return g.select("*", F.array_join(F.array_compact(F.array(F.when(F.col("documents") < 20, F.lit("few")), F.when(F.col("no_lang") * 10 > F.col("documents"), F.lit("unlabelled")))), ",").alias("flags"))

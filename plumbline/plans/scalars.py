@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import text as T
 from plumbline.functions.columns import is_missing, present
+from plumbline.operators.aggregates import quantiles
 from plumbline.sources.tables import table
 
 
@@ -74,7 +75,7 @@ def flt_03_missing(spark, d):
 def flt_05_thresholds(spark, d):
     """FLT-05: rows over several thresholds, one of them a group's own quantile."""
     s = table(spark, d, "scored_papers").select("record_id", "anchor_category", "cross_seed_score", "pagerank")
-    q = s.groupBy("anchor_category").agg(F.percentile("pagerank", 0.7).alias("q"))
+    q = quantiles(s, ["anchor_category"], "pagerank", [0.7], ["q"])
     return s.join(q, s.anchor_category.eqNullSafe(q.anchor_category)).where((F.col("cross_seed_score") >= 2) & (F.col("pagerank") > F.col("q"))).select("record_id")
 
 

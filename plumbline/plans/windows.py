@@ -6,6 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plumbline.operators import windows as W
+from plumbline.operators.aggregates import quantiles
+from plumbline.operators.order import global_position
 from plumbline.sources.tables import table
 
 
@@ -57,14 +59,10 @@ def win_07_path(spark, d):
 
 
 def win_09_position(spark, d):
-    """WIN-09: position in an order over the number of rows, from counts of the values and places among equals."""
-    c = table(spark, d, "customer").select("c_custkey", "c_acctbal")
-    w = Window.partitionBy("c_acctbal").orderBy("c_custkey")
-    n = c.groupBy("c_acctbal").agg(F.count(F.lit(1)).alias("n"))
-    above = Window.orderBy(F.desc("c_acctbal")).rowsBetween(Window.unboundedPreceding, -1)
-    base = n.select("c_acctbal", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("base"), F.sum("n").over(Window.partitionBy()).alias("total"))
-    placed = c.withColumn("r", F.row_number().over(w)).join(base, "c_acctbal")
-    return placed.select("c_custkey", F.round((F.col("total") - (F.col("base") + F.col("r") - 1)) / F.col("total"), 9).alias("position"))
+    """WIN-09: position in an order over the number of rows."""
+    c = global_position(table(spark, d, "customer").select("c_custkey", "c_acctbal"), [F.desc("c_acctbal"), F.asc("c_custkey")], "r")
+    n = c.agg(F.count(F.lit(1)).alias("total"))
+    return c.crossJoin(F.broadcast(n)).select("c_custkey", F.round((F.col("total") - F.col("r")) / F.col("total"), 9).alias("position"))
 
 
 def win_10_capped(spark, d):
@@ -91,8 +89,8 @@ def win_13_spacing(spark, d):
 def win_14_tiers(spark, d):
     """WIN-14: low, middle and high by the 33 and 66 % quantiles."""
     c = table(spark, d, "customer")
-    q = c.agg(F.percentile("c_acctbal", F.array(F.lit(0.33), F.lit(0.66))).alias("q"))
-    tier = F.when(F.col("c_acctbal") <= F.col("q")[0], "low").when(F.col("c_acctbal") <= F.col("q")[1], "middle").otherwise("high")
+    q = quantiles(c, [], "c_acctbal", [0.33, 0.66], ["low", "high"])
+    tier = F.when(F.col("c_acctbal") <= F.col("low"), "low").when(F.col("c_acctbal") <= F.col("high"), "middle").otherwise("high")
     return c.crossJoin(F.broadcast(q)).select("c_custkey", tier.alias("tier"))
 
 
@@ -111,7 +109,7 @@ def srt_04_representative(spark, d):
 def srt_06_dense_index(spark, d):
     """SRT-06, SNK-09: a dense index from 0 in a fixed order, by range partitions and their offsets."""
     n = table(spark, d, "nation")
-    return n.select("n_nationkey", (F.row_number().over(Window.orderBy("n_regionkey", "n_name")) - 1).alias("idx"))
+    return global_position(n.select("n_nationkey", "n_regionkey", "n_name"), ["n_regionkey", "n_name"], "idx").select("n_nationkey", "idx")
 
 
 def srt_07_sample(spark, d):

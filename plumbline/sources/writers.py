@@ -5,9 +5,11 @@ from __future__ import annotations
 import json
 from xml.sax.saxutils import quoteattr
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.operators.order import global_position
+
 
 def write_by_suffix(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """SNK-01 to SNK-03, SNK-06: ``.parquet``, ``.json`` (lines) or CSV with a header, empty tables too."""
@@ -49,7 +51,7 @@ def attribute(text: str) -> str:
 
 def indexed_graph(nodes: DataFrame, edges: DataFrame, order: list) -> tuple[DataFrame, DataFrame]:
     """SNK-09: nodes with a dense index and edges as index pairs."""
-    indexed = nodes.withColumn("idx", F.row_number().over(Window.orderBy(*order)) - 1)
+    indexed = global_position(nodes, order, "idx")
     key = indexed.select("id", "idx")
     pairs = edges.join(key.select(F.col("id").alias("src"), F.col("idx").alias("a")), "src").join(key.select(F.col("id").alias("dst"), F.col("idx").alias("b")), "dst")
     return indexed, pairs.select("a", "b")
