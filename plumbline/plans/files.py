@@ -48,12 +48,6 @@ def snk_07_export(spark, d):
     return s.select("record_id", F.to_json(F.struct(F.coalesce("title", F.lit("")).alias("title"), F.coalesce("publication_year", F.lit(0)).alias("year"), T.normalize_doi(F.col("doi")).alias("doi"))).alias("json"))
 
 
-def snk_11_provenance(spark, d):
-    """SNK-11: digests of table contents: a sum of row hashes does not depend on order."""
-    n = table(spark, d, "nation")
-    return n.agg(F.count(F.lit(1)).alias("n"), F.md5(F.array_join(F.array_sort(F.collect_list(F.col("n_name"))), "|")).alias("digest"))
-
-
 QUERIES = {k: v for k, v in list(globals().items()) if k.startswith(("src_", "snk_"))}
 _E = "e AS MATERIALIZED (SELECT DISTINCT a.l_partkey AS src, b.l_partkey AS dst FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1 WHERE a.l_partkey <> b.l_partkey)"
 _DOI = r"regexp_replace(lower(regexp_extract(coalesce(doi, ''), '(10\.\d{4,9}/\S+)', 1)), '[\)\]\.,;:\"'']+$', '')"
@@ -62,5 +56,4 @@ ORACLE = {
     "src_23_roundtrip": f"WITH {_E} SELECT src, dst FROM e",
     "snk_05_graphml": f"WITH {_E}, v AS (SELECT src AS id FROM e UNION SELECT dst FROM e) SELECT 0 AS part, 1 AS lines, length('<?xml version=\"1.0\" encoding=\"UTF-8\"?><graphml xmlns=\"http://graphml.graphdrawing.org/xmlns\"><graph edgedefault=\"directed\">') AS longest UNION ALL SELECT 1, count(*), max(length('<node id=\"' || id || '\"/>')) FROM v UNION ALL SELECT 2, count(*), max(length('<edge source=\"' || src || '\" target=\"' || dst || '\"/>')) FROM e UNION ALL SELECT 3, 1, 18",
     "snk_07_export": f"SELECT record_id, to_json({{'title': coalesce(title, ''), 'year': coalesce(publication_year, 0), 'doi': {_DOI}}})::VARCHAR AS json FROM scored_papers",
-    "snk_11_provenance": "SELECT count(*) AS n, md5(string_agg(n_name, '|' ORDER BY n_name)) AS digest FROM nation",
 }

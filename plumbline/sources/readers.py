@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,25 +102,32 @@ class PagedPartition(InputPartition):
 
 
 class PagedReader(DataSourceReader):
-    """One task a query; each asks for page after page until none is left or ``max_results`` is reached."""
+    """One task a query; each asks for page after page until none is left, or ``max_results`` is reached where it is not 0.
 
-    def __init__(self, fetch: Callable[[str, str], tuple[list[tuple], str | None]], queries: Sequence[str], max_results: int, retries: int):
-        self.fetch, self.queries, self.max_results, self.retries = fetch, queries, max_results, retries
+    A page that fails is asked for again after a wait that doubles each time; if it fails ``retries`` times more, the scan
+    fails, so a result is never short without a word. ``EOFError`` from the service ends a query as it stands.
+    """
+
+    def __init__(self, fetch: Callable[[str, str], tuple[list[tuple], str | None]], queries: Sequence[str], max_results: int, retries: int, wait: float = 0.5):
+        self.fetch, self.queries, self.max_results, self.retries, self.wait = fetch, queries, max_results, retries, wait
 
     def partitions(self):
         return [PagedPartition(q) for q in self.queries]
 
     def read(self, partition) -> Iterator[tuple]:
         cursor, given = "*", 0
-        while cursor is not None and given < self.max_results:
+        while cursor is not None and (not self.max_results or given < self.max_results):
             for attempt in range(self.retries + 1):
                 try:
                     rows, cursor = self.fetch(partition.query, cursor)
                     break
+                except EOFError:
+                    return
                 except OSError:
                     if attempt == self.retries:
-                        return
-            for row in rows[: self.max_results - given]:
+                        raise
+                    time.sleep(self.wait * 2**attempt)
+            for row in rows[: self.max_results - given] if self.max_results else rows:
                 yield (partition.query, *row)
             given += len(rows)
             if not rows:
@@ -128,7 +136,7 @@ class PagedReader(DataSourceReader):
 
 def paged_source(name: str, schema: str, fetch: Callable[[str, str], tuple[list[tuple], str | None]]) -> type[DataSource]:
     """A registered source whose rows come from ``fetch(query, cursor) -> (rows, next cursor)``. Options: ``queries``
-    (separated by line breaks), ``max_results``, ``retries``."""
+    (separated by line breaks), ``max_results`` (0: all), ``retries``, ``wait`` (seconds before the first retry)."""
 
     class Paged(DataSource):
         @classmethod
@@ -139,7 +147,7 @@ def paged_source(name: str, schema: str, fetch: Callable[[str, str], tuple[list[
             return f"query string, {schema}"
 
         def reader(self, schema) -> DataSourceReader:
-            return PagedReader(fetch, [q for q in self.options.get("queries", "").split("\n") if q], int(self.options.get("max_results", "1000")), int(self.options.get("retries", "2")))
+            return PagedReader(fetch, [q for q in self.options.get("queries", "").split("\n") if q], int(self.options.get("max_results", "0")), int(self.options.get("retries", "2")), float(self.options.get("wait", "0.5")))
 
     return Paged
 

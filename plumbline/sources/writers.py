@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from xml.sax.saxutils import quoteattr
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +21,8 @@ def write_by_suffix(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def append_jsonl(df: DataFrame, path: str) -> None:
-    df.write.mode("append").json(path)
+    """SNK-06: JSON lines added to what is there."""
+    write_by_suffix(df, path if path.endswith((".json", ".jsonl")) else path + ".jsonl", "append")
 
 
 def write_report(df: DataFrame, path: str, most: int = 10_000) -> None:
@@ -45,10 +45,6 @@ def graphml_lines(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return ends.unionByName(n).unionByName(e).orderBy("part", "line")
 
 
-def attribute(text: str) -> str:
-    return quoteattr(text)
-
-
 def indexed_graph(nodes: DataFrame, edges: DataFrame, order: list) -> tuple[DataFrame, DataFrame]:
     """SNK-09: nodes with a dense index and edges as index pairs."""
     indexed = global_position(nodes, order, "idx")
