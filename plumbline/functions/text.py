@@ -168,6 +168,26 @@ def bibtex_escape(c: Column) -> Column:
     return F.regexp_replace(F.coalesce(c, F.lit("")), r"([{}&%$#_])", r"\\$1")
 
 
+def letter_counts(c: Column) -> Column:
+    """How often each letter, digit and blank stands in a plain text, and last how many other characters it has."""
+    n = F.length(c)
+    some = F.array(*[n - F.length(F.replace(c, F.lit(x), F.lit(""))) for x in "abcdefghijklmnopqrstuvwxyz0123456789 "])
+    return F.concat(some, F.array(n - F.aggregate(some, F.lit(0), lambda x, y: x + y)))
+
+
+def may_match(a: Column, b: Column, la: Column, lb: Column, least: float) -> Column:
+    """Whether texts with these letter counts and lengths can have twice their common subsequence, or their matching
+    blocks, at ``least`` of both lengths: letters in common, in any order, are no fewer."""
+    common = F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    return 2 * common >= least * (la + lb)
+
+
+def length_ranges(n: Column, least: float, width: int = 16) -> Column:
+    """The ranges of ``width`` lengths in which a text lies that matches one of ``n`` characters at ``least``."""
+    bound = least / (2 - least)
+    return F.sequence(F.floor(n * bound / width), F.floor(n / bound / width))
+
+
 # --- similarities that have no built-in form: Arrow UDFs ---------------------------------------------------------
 
 

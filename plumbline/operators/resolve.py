@@ -6,12 +6,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.text import normalize_name, normalize_title, token_sort_ratio
+from plumbline.functions.text import length_ranges, letter_counts, may_match, normalize_name, normalize_title, token_sort_ratio
 from plumbline.operators.graph import components
 from plumbline.session import cut
 
 
-def candidate_links(df: DataFrame, threshold: float = 85.0, max_year_delta: int = 2, least_words: int = 4, bucket: int = 500) -> DataFrame:
+def candidate_links(df: DataFrame, threshold: float = 85.0, max_year_delta: int = 2, least_words: int = 4) -> DataFrame:
     """DED-01, DED-03: all links ``i < j`` between records of one block that match.
 
     ``df``: ord, doi, title, year, author. Same DOI always matches. Fuzzy matches compare distinct (author, title, year)
@@ -41,10 +41,14 @@ def _blocks(df: DataFrame, threshold: float, max_year_delta: int, least_words: i
     years = _years_ok(F.col("a.year"), F.col("b.year"), max_year_delta)
     both = [F.col("a.rep").alias("rep"), F.col("b.rep").alias("other")]
     exact = a.join(b, (F.col("a.author") == F.col("b.author")) & (F.col("a.title") == F.col("b.title"))).where(years).select(*both)
-    # two titles at this similarity differ in length by a bounded factor
-    ratio = threshold / (200 - threshold)
-    near = a.join(b, (F.col("a.author") == F.col("b.author")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.title") != F.col("b.title")) & (F.length("a.title") >= ratio * F.length("b.title")) & (F.length("b.title") >= ratio * F.length("a.title")))
-    fuzzy = cut(near.where(years).where(token_sort_ratio(F.col("a.title"), F.col("b.title")) >= threshold).select(*both))
+    # titles at this similarity have lengths within a bounded factor and enough letters in common: an author's titles meet
+    # by ranges of length, and few pairs are compared in full
+    least = threshold / 100
+    bags = reps.withColumn("bag", letter_counts(F.col("title"))).withColumn("n", F.length("title"))
+    a, b = bags.withColumn("range", F.explode(length_ranges(F.col("n"), least))).alias("a"), bags.withColumn("range", F.floor(F.col("n") / 16)).alias("b")
+    near = a.join(b, (F.col("a.author") == F.col("b.author")) & (F.col("a.range") == F.col("b.range")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.title") != F.col("b.title")))
+    near = near.where(years).where(may_match(F.col("a.bag"), F.col("b.bag"), F.col("a.n"), F.col("b.n"), least))
+    fuzzy = cut(near.where(token_sort_ratio(F.col("a.title"), F.col("b.title")) >= threshold).select(*both))
     kin = exact.unionByName(fuzzy).unionByName(fuzzy.select(F.col("other").alias("rep"), F.col("rep").alias("other")))
     return cut(base.select("ord", "doi").join(of, "ord", "left")), cut(kin)
 
@@ -126,10 +130,3 @@ def canonical_id(doi: Column, title: Column, year: Column) -> Column:
     """DED-05."""
     key = F.when(F.coalesce(doi, F.lit("")) != "", doi).otherwise(title)
     return F.md5(F.concat(F.lit("canonical||"), F.coalesce(key, F.lit("")), F.lit("||"), F.coalesce(year.cast("string"), F.lit(""))))
-
-
-def best_match(left: DataFrame, right: DataFrame, on: str, similarity: Column, least: float, order: list[Column]) -> DataFrame:
-    """JON-16, JON-17: of each left record's candidates (same ``on``) the best above ``least``."""
-    (found,) = [left.join(right, on).withColumn("similarity", similarity).where(F.col("similarity") >= least)]
-    w = Window.partitionBy("left_id").orderBy(F.desc("similarity"), *order)
-    return found.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")

@@ -4,66 +4,78 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.columns import fresh
+from plumbline.operators.learning import head_per_group
+from plumbline.operators.order import global_position
+from plumbline.session import cut
+
 
 def share_cap_removals(counts: dict[str, int], removable: dict[str, int], share: float) -> dict[str, int]:
     """SEL-06: how many rows each group loses when, one at a time, the most over-represented group that still has
-    removable rows gives one up until no such group is above ``share`` of what remains."""
+    removable rows gives one up until no such group is above ``share`` of what remains; of equals the first by name.
+
+    Steps that are alike are taken at once: the largest groups, if equal in turn, go down together as far as they stay
+    the largest and above the share. So the work grows with the number of groups, not with that of rows.
+    """
     counts, left, out = dict(counts), dict(removable), {g: 0 for g in counts}
+    limit = lambda total: max(1, int(total * share))
     while True:
         total = sum(counts.values())
-        over = [g for g, n in counts.items() if n > max(1, int(total * share)) and left.get(g, 0) > 0]
+        over = [g for g, n in counts.items() if n > limit(total) and left.get(g, 0) > 0]
         if not over:
             return out
-        g = min(over, key=lambda g: (-counts[g], g))
-        counts[g] -= 1
-        left[g] -= 1
-        out[g] += 1
+        top = max(counts[g] for g in over)
+        first = sorted(g for g in over if counts[g] == top)
+        below = max((counts[g] for g in over if counts[g] < top), default=0)
+        lo, hi = 0, min([top - below, *(left[g] for g in first)])
+        while lo < hi:  # whole rounds over the largest that leave them above the share
+            mid = (lo + hi + 1) // 2
+            lo, hi = (mid, hi) if top - mid > limit(total - mid * len(first)) else (lo, mid - 1)
+        for g, k in [(g, lo) for g in first] if lo else [(first[0], 1)]:
+            counts[g] -= k
+            left[g] -= k
+            out[g] += k
 
 
 def cap_shares(df: DataFrame, group: str, keep: Column, worst_first: Sequence[Column], share: float) -> DataFrame:
     """SEL-06: drop the worst removable rows of over-represented groups. ``keep`` rows are never dropped.
 
-    The counts of groups (a small table) decide on the driver how many rows go; within a group their order is fixed, so
-    one ranking finds them.
+    The counts of groups (a small table) decide on the driver how many rows go. Removable rows are put in one global
+    order by range partitions, so a group of any size is ranked by many tasks. ``worst_first`` should end with an
+    identifier.
     """
     spark = df.sparkSession
-    marked = df.withColumn("kept__", F.coalesce(keep, F.lit(False)))
-    rows = marked.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("kept__")).alias("m")).collect()
-    gone = share_cap_removals({r[0]: r["n"] for r in rows}, {r[0]: r["m"] for r in rows}, share)
-    plan = spark.createDataFrame([(g, n) for g, n in gone.items()], f"`{group}` string, gone int") if gone else spark.createDataFrame([], f"`{group}` string, gone int")
-    w = Window.partitionBy(group, "kept__").orderBy(*worst_first)
-    ranked = marked.withColumn("r", F.row_number().over(w)).join(F.broadcast(plan), group, "left")
-    return ranked.where(F.col("kept__") | (F.col("r") > F.coalesce("gone", F.lit(0)))).drop("kept__", "r", "gone")
+    kept, at, gone, start = fresh(df, "kept", "at", "gone", "start")
+    marked = df.withColumn(kept, F.coalesce(keep, F.lit(False)))
+    rows = marked.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col(kept)).alias("m")).collect()
+    plan = share_cap_removals({r[0]: r["n"] for r in rows}, {r[0]: r["m"] for r in rows}, share)
+    few = spark.createDataFrame([(g, n) for g, n in plan.items()], f"`{group}` string, {gone} bigint")
+    placed = global_position(marked.where(~F.col(kept)), [F.col(group), *worst_first], at)
+    begins = placed.groupBy(group).agg(F.min(at).alias(start)).join(few, group)
+    lost = F.col(at) - F.coalesce(start, F.lit(0)) < F.coalesce(gone, F.lit(0))
+    rest = placed.join(begins, group, "left").where(~lost)
+    return marked.where(kept).select(*df.columns).unionByName(rest.select(*df.columns))
 
 
 def diverse_cap(df: DataFrame, group: str, cluster: str, best_first: Sequence[Column], cap: int, diverse: float) -> DataFrame:
-    """SEL-04: at most ``cap`` rows a group: the best ones first, the rest from the clusters least represented so far."""
-    first = round((1 - diverse) * cap)
-    w = Window.partitionBy(group).orderBy(*best_first)
-    ranked = df.withColumn("r", F.row_number().over(w))
-    one = ranked.where(F.col("r") <= first)
-    used = one.groupBy(group, cluster).agg(F.count(F.lit(1)).alias("used"))
-    rest = ranked.where(F.col("r") > first).join(used, [group, cluster], "left").withColumn("used", F.coalesce("used", F.lit(0)))
-    fill = Window.partitionBy(group).orderBy("used", "r")
-    two = rest.withColumn("s", F.row_number().over(fill)).where(F.col("s") <= cap - first).drop("s", "used")
-    return one.unionByName(two.select(*one.columns)).drop("r")
+    """SEL-04: at most ``cap`` rows a group: the best ones first, the rest from the clusters least represented so far.
 
-
-def rebalance(counts: dict[str, int], bounds: dict[str, tuple[float, float]]) -> dict[str, tuple[int, int]]:
-    """SEL-01: for each category how many rows go and how many come: maxima against the first total, minima against the
-    total after trimming."""
-    total = sum(counts.values())
-    trimmed = {g: max(0, n - int(total * bounds[g][1])) if g in bounds else 0 for g, n in counts.items()}
-    after = total - sum(trimmed.values())
-    out = {}
-    for g in {*counts, *bounds}:
-        n = counts.get(g, 0) - trimmed.get(g, 0)
-        need = -(-int(round(after * bounds[g][0] * 1e9)) // 10**9) if g in bounds else 0
-        out[g] = (trimmed.get(g, 0), max(0, need - n))
-    return out
+    All rankings are in two stages, and the second choice looks at the best rows of each cluster only. ``best_first``
+    should end with an identifier; equal rows count once.
+    """
+    used, rank = fresh(df, "used", "rank_no")
+    first = round((1 - diverse) * cap)
+    one = cut(head_per_group(df, [group], best_first, first, rank).drop(rank))
+    counts = one.groupBy(group, cluster).agg(F.count(F.lit(1)).alias(used))
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in df.columns]
+    rest = df.alias("a").join(one.alias("b"), same, "left_anti")
+    best = head_per_group(rest, [group, cluster], best_first, cap - first, rank).drop(rank)
+    fill = best.join(counts, [group, cluster], "left").withColumn(used, F.coalesce(used, F.lit(0)))
+    two = head_per_group(fill, [group], [F.asc(used), *best_first], cap - first, rank)
+    return one.unionByName(two.select(*one.columns))
 
 
 def tiered(df: DataFrame, ident: str, tiers: Sequence[tuple[str, Column, Sequence[Column], int]]) -> DataFrame:

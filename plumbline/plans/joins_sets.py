@@ -6,12 +6,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import present
-from plumbline.functions.text import normalize_doi, split_list
+from plumbline.functions.text import normalize_doi, normalize_title, split_list
+from plumbline.operators.cascade import title_cascade
 from plumbline.sources.tables import table
 
 
 def _works(spark, d):
-    return table(spark, d, "candidate_papers").select("_ord", "openalex_id", "doi", "title", "publication_year", "seed_doi", "cited_by_count", "abstract", "channel")
+    return table(spark, d, "candidate_papers").select("_ord", "openalex_id", "doi", "title", "publication_year", "seed_doi", "seed_title", "cited_by_count", "abstract", "channel")
 
 
 def jon_01_left(spark, d):
@@ -73,8 +74,8 @@ def jon_11_semi(spark, d):
 
 
 def jon_12_anti(spark, d):
-    """JON-12, SET-05: customers without orders."""
-    c, o = table(spark, d, "customer"), table(spark, d, "orders")
+    """JON-12, SET-05: customers without urgent orders that are finished."""
+    c, o = table(spark, d, "customer"), table(spark, d, "orders").where("o_orderpriority = '1-URGENT' and o_orderstatus = 'F'")
     return c.join(o.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey")
 
 
@@ -97,13 +98,14 @@ def jon_14_exploded_references(spark, d):
 
 
 def jon_18_cascade(spark, d):
-    """JON-18: exact match by DOI, else by title and near year."""
-    seeds = table(spark, d, "core_seeds").select("corpus_id", normalize_doi(F.col("doi")).alias("k"), F.lower("title").alias("t"), F.col("publication_year").try_cast("int").alias("y"))
-    p = _works(spark, d).select("_ord", normalize_doi(F.col("doi")).alias("pk"), F.lower("title").alias("pt"), "publication_year", F.lower("seed_doi").alias("s"))
-    hit = p.join(seeds, (p.pk == seeds.k) & (seeds.k != "")).select("_ord", "corpus_id", F.lit(1).alias("how"))
-    near = p.join(seeds, (p.pt == seeds.t) & (F.abs(p.publication_year - seeds.y) <= 3)).select("_ord", "corpus_id", F.lit(2).alias("how"))
-    best = hit.unionByName(near).groupBy("_ord").agg(F.min(F.struct("how", "corpus_id")).alias("b"))
-    return best.select("_ord", "b.how", "b.corpus_id")
+    """JON-18: seeds among the works named by others: by DOI, else by title, else by the most similar title."""
+    seeds = table(spark, d, "core_seeds")
+    title = normalize_title(F.col("title"))
+    some = F.when(F.col("population") == "Mixed", F.substring(title, F.lit(1), F.floor(F.length(title) * 0.85).cast("int"))).otherwise(title)
+    wanted = seeds.select(F.col("corpus_id").alias("id"), F.when(F.col("recency_flag") == "anchor", normalize_doi(F.col("doi"))).otherwise("").alias("doi"), some.alias("title"), F.lit(None).cast("int").alias("year"))
+    named = _works(spark, d).select("_ord", normalize_doi(F.col("seed_doi")).alias("doi"), normalize_title(F.col("seed_title")).alias("title")).where("title <> ''")
+    works = named.groupBy("title").agg(F.min("_ord").alias("work"), F.max("doi").alias("doi")).withColumn("year", F.lit(None).cast("int"))
+    return title_cascade(wanted, works)
 
 
 def jon_20_pair_counts(spark, d):
@@ -179,6 +181,7 @@ def set_08_richest(spark, d):
 
 
 _DOI = r"regexp_replace(lower(regexp_extract(coalesce({0}, ''), '(10\.\d{{4,9}}/\S+)', 1)), '[\)\]\.,;:\"'']+$', '')"
+_NORM = r"CASE WHEN {0} IS NULL OR lower(trim({0}, chr(9)||chr(10)||chr(13)||' ')) IN ('', 'nan') THEN '' ELSE trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents({0}), '[^\x00-\x7F]', '', 'g')), '\(.*?preprint.*?\)', ' ', 'g'), '\b(erratum|correction|supplementary|preprint|biorxiv|arxiv|extended version)\b', ' ', 'g'), '[^a-z0-9\s]', ' ', 'g'), '\s+', ' ', 'g')) END"
 _M = "({0} IS NULL OR lower(trim({0}, chr(9)||chr(10)||chr(13)||' ')) IN ('', 'nan'))"
 QUERIES = {k: v for k, v in list(globals().items()) if k.startswith(("jon_", "set_"))}
 ORACLE = {
@@ -190,10 +193,10 @@ ORACLE = {
     "jon_07_two_keys": f"WITH s AS (SELECT {_DOI.format('doi')} AS k, lower(trim(title)) AS t, category, doc_type FROM core_seeds), a AS (SELECT k, min(category) AS c1, min(doc_type) AS d1 FROM s WHERE k <> '' GROUP BY k), b AS (SELECT t, min(category) AS c2, min(doc_type) AS d2 FROM s WHERE t <> '' GROUP BY t) SELECT _ord, c1 IS NOT NULL OR c2 IS NOT NULL AS hit, coalesce(nullif(c1, ''), c2, '') AS category, coalesce(nullif(d1, ''), d2, '') AS doc_type FROM candidate_papers LEFT JOIN a ON a.k = {_DOI.format('seed_doi')} LEFT JOIN b ON b.t = lower(trim(title))",
     "jon_08_one_to_many": f"WITH s AS (SELECT corpus_id, {_DOI.format('doi')} AS k FROM core_seeds), c AS (SELECT corpus_id, count(*) AS citing FROM s JOIN candidate_papers ON k = {_DOI.format('seed_doi')} WHERE k <> '' GROUP BY 1), r AS (SELECT corpus_id, count(*) AS records FROM s JOIN scored_papers p ON k = {_DOI.format('p.doi')} WHERE k <> '' GROUP BY 1) SELECT corpus_id, citing, coalesce(records, 0) AS records FROM c LEFT JOIN r USING (corpus_id)",
     "jon_11_semi": "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')",
-    "jon_12_anti": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)",
+    "jon_12_anti": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')",
     "jon_13_rekey": f"WITH i AS (SELECT {_DOI.format('doi')} AS k, min(canonical_paper_id) AS id FROM scored_papers WHERE doi IS NOT NULL GROUP BY 1), s AS (SELECT {_DOI.format('doi')} AS b, corpus_id FROM core_seeds) SELECT DISTINCT id AS src, corpus_id AS dst FROM candidate_papers JOIN i ON k = {_DOI.format('doi')} JOIN s ON b = {_DOI.format('seed_doi')} WHERE k <> '' AND b <> '' AND id <> corpus_id",
     "jon_14_exploded_references": r"WITH l AS (SELECT record_id, string_split(trim(unnest(string_split(all_openalex_ids, ';'))), '/')[-1] AS work FROM scored_papers) SELECT DISTINCT record_id, _ord FROM l JOIN candidate_papers ON work = string_split(openalex_id, '/')[-1] WHERE lower(work) NOT IN ('', 'nan')",
-    "jon_18_cascade": f"WITH s AS (SELECT corpus_id, {_DOI.format('doi')} AS k, lower(title) AS t, try_cast(publication_year AS INT) AS y FROM core_seeds), m AS (SELECT _ord, 1 AS how, corpus_id FROM candidate_papers p JOIN s ON k = {_DOI.format('p.doi')} WHERE k <> '' UNION ALL SELECT _ord, 2, corpus_id FROM candidate_papers p JOIN s ON t = lower(p.title) AND abs(p.publication_year - y) <= 3) SELECT _ord, how, corpus_id FROM m QUALIFY row_number() OVER (PARTITION BY _ord ORDER BY how, corpus_id) = 1",
+    "jon_18_cascade": f"WITH n AS (SELECT {_NORM.format('seed_title')} AS title, min(_ord) AS work, max({_DOI.format('seed_doi')}) AS doi FROM candidate_papers GROUP BY 1), w AS (SELECT corpus_id AS id, CASE WHEN recency_flag = 'anchor' THEN {_DOI.format('doi')} ELSE '' END AS doi, {_NORM.format('title')} AS full_title, population = 'Mixed' AS part FROM core_seeds), o AS (SELECT id, 1 AS how, work FROM w JOIN n USING (doi) WHERE doi <> '' UNION ALL SELECT id, CASE WHEN coalesce(part, false) THEN 3 ELSE 2 END, work FROM w JOIN n ON full_title = title WHERE title <> '') SELECT id, how, work FROM o QUALIFY row_number() OVER (PARTITION BY id ORDER BY how, work) = 1",
     "jon_20_pair_counts": "SELECT p_brand, n_name, count(*) AS n FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL HAVING count(*) >= 2",
     "jon_22_refresh": f"SELECT record_id, md5(coalesce(CASE WHEN {_M.format('abstract')} THEN NULL ELSE abstract END, a)) AS abstract_md5 FROM scored_papers LEFT JOIN (SELECT canonical_paper_id, min_by(abstract, record_id) AS a FROM scored_papers WHERE NOT {_M.format('abstract')} GROUP BY 1) USING (canonical_paper_id)",
     "jon_23_upsert": "SELECT k, coalesce(w, v) AS value FROM (SELECT c_custkey AS k, c_acctbal AS v FROM customer) FULL JOIN (SELECT s_suppkey + 50 AS k, s_acctbal AS w FROM supplier) USING (k)",

@@ -131,14 +131,6 @@ def sel_17_next(spark, d):
     return one.withColumn("rank_no", F.row_number().over(w)).where("rank_no <= 5").select("id", "other", F.col("b.kind").alias("kind"), "rank_no")
 
 
-def dis_05_overlap(spark, d):
-    """DIS-05, DIS-06: the share of an item's words that its own documents' best source holds."""
-    i = table(spark, d, "eval_items")
-    s, t = T.overlap_tokens(F.substring("item_text", 1, 120)), T.overlap_tokens(F.substring("item_text", 80, 400))
-    share = F.when(F.size(s) > 0, F.size(F.array_intersect(s, t)) / F.size(s)).otherwise(0.0)
-    return i.select("item_id", F.round(share, 6).alias("overlap"), F.when(share >= 0.5, "high").when(share >= 0.2, "medium").otherwise("low").alias("label"))
-
-
 def dis_10_checks(spark, d):
     """DIS-10, GOV-03, GOV-04: several checks, the failed ones listed in order."""
     s = table(spark, d, "scored_papers")
@@ -177,7 +169,6 @@ ORACLE = {
     "sel_08_tiers": "WITH a AS (SELECT o_orderkey, 'open' AS tier FROM orders WHERE o_orderstatus = 'O' ORDER BY o_totalprice DESC, o_orderkey LIMIT 100), b AS (SELECT o_orderkey, 'urgent' AS tier FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderkey NOT IN (SELECT o_orderkey FROM a) ORDER BY o_totalprice DESC, o_orderkey LIMIT 50), c AS (SELECT o_orderkey, 'rest' AS tier FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM a UNION ALL SELECT o_orderkey FROM b) ORDER BY o_totalprice DESC, o_orderkey LIMIT 25) SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c",
     "sel_11_cascade": f"WITH x AS (SELECT row_id, CASE WHEN NOT {_M.format('primary_topic_code')} THEN upper(trim(primary_topic_code, ' ')) END AS own, nullif(regexp_extract(upper(topic_codes), '(TOPIC-\\d+)', 1), '') AS listed FROM core_corpus_tracked) SELECT row_id, coalesce(own, listed, 'UNMAPPED') AS code, CASE WHEN own IS NOT NULL THEN 'own' WHEN listed IS NOT NULL THEN 'listed' ELSE 'none' END AS method FROM x",
     "sel_17_next": f"WITH {_E}, b AS (SELECT src AS id, dst AS other, 'next' AS kind, 0.7 AS f FROM e UNION ALL SELECT dst, src, 'before', 0.65 FROM e), s AS (SELECT id, other, kind, round(f::DOUBLE * p_retailprice, 4) AS score FROM b JOIN part ON p_partkey = other), o AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY id, other ORDER BY score DESC, kind) = 1) SELECT id, other, kind, row_number() OVER (PARTITION BY id ORDER BY score DESC, other) AS rank_no FROM o QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, other) <= 5",
-    "dis_05_overlap": "WITH t AS (SELECT item_id, list_distinct(regexp_extract_all(lower(substr(item_text, 1, 120)), '([a-z]{3,})', 1)) AS s, list_distinct(regexp_extract_all(lower(substr(item_text, 80, 400)), '([a-z]{3,})', 1)) AS t FROM eval_items), o AS (SELECT item_id, CASE WHEN len(s) > 0 THEN len(list_intersect(s, t)) / len(s) ELSE 0 END AS o FROM t) SELECT item_id, round(o, 6) AS overlap, CASE WHEN o >= 0.5 THEN 'high' WHEN o >= 0.2 THEN 'medium' ELSE 'low' END AS label FROM o",
     "dis_10_checks": f"SELECT record_id, coalesce(nullif(concat_ws('; ', CASE WHEN {_M.format('abstract')} THEN 'abstract' END, CASE WHEN {_M.format('doi')} THEN 'doi' END, CASE WHEN publication_year IS NULL THEN 'year' END, CASE WHEN coalesce(merged_cited_by_count < 0, true) THEN 'count' END), ''), 'none') AS reasons FROM scored_papers",
     "gov_01_report": f"WITH g AS (SELECT lower(trim(source)) AS source, count(*) AS documents, count(*) FILTER ({_M.format('lang')}) AS no_lang, count(*) FILTER (coalesce(n_chars <> length(text), true)) AS wrong_size, strftime(max(fetched_at), '%Y-%m-%d %H:%M:%S') AS latest FROM documents GROUP BY 1) SELECT *, concat_ws(',', CASE WHEN documents < 20 THEN 'few' END, CASE WHEN no_lang * 10 > documents THEN 'unlabelled' END) AS flags FROM g",
     "dis_09_cache": "SELECT doc_id, doc_id <> min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS reused FROM documents",
