@@ -240,6 +240,33 @@ def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates(p9_scores(spark, sf_dir))
 
 
+_WORDS = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+')"
+#: Every run of three words of every long enough record, met with all others that have it: no sampling, no banding.
+_P6_PAIRS = rf"""
+WITH long AS (
+  SELECT _ord, {_WORDS.format("concat_ws(' ', coalesce(title, ''), abstract)")} AS w FROM candidate_papers
+  WHERE NOT (abstract IS NULL OR lower(trim(regexp_replace(abstract, '[\s\p{{Z}}]+', '', 'g'))) IN ('', 'nan')) AND len(regexp_extract_all(abstract, '[\p{{L}}\p{{N}}]+')) >= 25
+), runs AS MATERIALIZED (
+  SELECT _ord, list_sort(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS runs FROM long
+), classes AS MATERIALIZED (
+  SELECT _ord, min(_ord) OVER (PARTITION BY runs) AS head, count(*) OVER (PARTITION BY runs) AS copies, len(runs) AS n, runs FROM runs
+), shingles AS MATERIALIZED (
+  SELECT head, n, unnest(runs) AS run FROM classes WHERE _ord = head
+), shared AS (
+  SELECT x.head AS a, y.head AS b, count(*) AS k, any_value(x.n) AS na, any_value(y.n) AS nb FROM shingles x JOIN shingles y ON x.run = y.run AND x.head < y.head GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT a, b FROM shared WHERE k >= 0.5 * (na + nb - k)
+)
+"""
+P6_SQL = _P6_PAIRS + "SELECT least(x._ord, y._ord) AS ord_a, greatest(x._ord, y._ord) AS ord_b FROM links JOIN classes x ON x.head = a JOIN classes y ON y.head = b"
+P6_DOCUMENTS_SQL = _P6_PAIRS + ", deg AS (SELECT head, count(*) AS links FROM (SELECT a AS head FROM links UNION ALL SELECT b FROM links) GROUP BY 1) SELECT _ord, head AS class_id, copies, coalesce(links, 0) AS links FROM classes LEFT JOIN deg USING (head)"
+P7_SQL = rf"""
+WITH items AS (SELECT item_id, {_WORDS.format("item_text")} AS w FROM eval_items),
+grams AS MATERIALIZED (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS g FROM items WHERE len(w) >= 8),
+docs AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents WHERE text IS NOT NULL),
+held AS (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS g FROM docs WHERE len(w) >= 8) WHERE g IN (SELECT g FROM grams))
+"""
+
 QUERIES = {
     "p6_found": p6_found,
     "p6_documents": p6_documents,
@@ -259,6 +286,10 @@ QUERIES = {
     "p4_copies": p4_copies,
 }
 ORACLE = {
+    "p6_found": P6_SQL,
+    "p6_documents": P6_DOCUMENTS_SQL,
+    "p7_found": P7_SQL + "SELECT DISTINCT doc_id, item_id FROM held JOIN grams USING (g)",
+    "p7_leaks": P7_SQL + "SELECT doc_id, item_id, count(*) AS shared_runs FROM held JOIN grams USING (g) GROUP BY ALL",
     "p1_found": P1_SQL,
     "p1_bundles": P1_BUNDLES_SQL,
     "p3_found": P3_SQL,
