@@ -12,6 +12,8 @@ from itertools import count
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from plumbline.functions.columns import fresh
+from plumbline.operators.order import position_in_group
 from plumbline.session import cut
 
 
@@ -329,6 +331,7 @@ def betweenness(edges: DataFrame, pivots: int | None = None, nodes: DataFrame |
 
 def golden_positions(df: DataFrame, group: str, order: Column) -> DataFrame:
     """GRA-22: a place on a golden-angle spiral for every row of a group."""
-    k = F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1
-    angle = k * F.lit(2.399963229728653)
-    return df.withColumn("x", F.sqrt(k.cast("double")) * F.cos(angle)).withColumn("y", F.sqrt(k.cast("double")) * F.sin(angle))
+    (k,) = fresh(df, "k")
+    angle = F.col(k) * F.lit(2.399963229728653)
+    radius = F.sqrt(F.col(k).cast("double"))
+    return position_in_group(df, group, [order], k).withColumn("x", radius * F.cos(angle)).withColumn("y", radius * F.sin(angle)).drop(k)

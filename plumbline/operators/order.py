@@ -23,7 +23,7 @@ def running_total(df: DataFrame, order: Sequence[str | Column], value: str, out:
     """
     parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     part, within, step = fresh(df, "part", "within", "step")
-    stepped = df.withColumn(step, F.coalesce(col(value), F.lit(0)).cast("bigint"))
+    stepped = cut(df.withColumn(step, F.coalesce(col(value), F.lit(0)).cast("bigint")))  # ranges are found by a pass of their own
     names = [*stepped.columns, within]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,6 +43,18 @@ def running_total(df: DataFrame, order: Sequence[str | Column], value: str, out:
     return ordered.withColumn(out, F.col(within) + offset).drop(part, within, step)
 
 
+def position_in_group(df: DataFrame, group: str, order: Sequence[str | Column], out: str) -> DataFrame:
+    """``df`` with ``out``, every row's place (from 0) within its group in ``order``, which should end with an identifier.
+
+    Places in the global order of groups, less those of the groups before, so a group of any size is the work of many
+    tasks. Rows without a group are one group.
+    """
+    g, start = fresh(df, "g", "start")
+    placed = global_position(df, [col(group), *order], out)
+    begins = placed.groupBy(col(group).alias(g)).agg(F.min(out).alias(start))
+    return placed.join(begins, col(group).eqNullSafe(F.col(g))).withColumn(out, F.col(out) - F.col(start)).drop(g, start)
+
+
 def global_position(df: DataFrame, order: Sequence[str | Column], out: str, partitions: int | None = None) -> DataFrame:
     """``df`` with ``out``, every row's place (from 0) in ``order``."""
     (one,) = fresh(df, "one")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.operators.learning import head_per_group
+
 
 def postings(df: DataFrame, ident: str, tokens: Column) -> DataFrame:
     """IR-01: ``token, doc, tf``."""
@@ -67,7 +69,6 @@ def phrase_bonus(title: Column, text: Column, query: str, in_title: float = 4.5,
 
 def diversified(scores: DataFrame, group: str, order: Sequence[Column], per_group: int, limit: int) -> DataFrame:
     """IR-02 tail: the first ``limit`` with at most ``per_group`` of each group and query; blank groups uncapped."""
-    w = Window.partitionBy("query", group).orderBy(*order)
-    ranked = scores.withColumn("k", F.row_number().over(w)).where((F.col("k") <= per_group) | (F.coalesce(F.col(group), F.lit("")) == "")).drop("k")
-    q = Window.partitionBy("query").orderBy(*order)
-    return ranked.withColumn("rank_no", F.row_number().over(q)).where(F.col("rank_no") <= limit)
+    blank = F.coalesce(F.col(group), F.lit("")) == ""
+    few = head_per_group(scores.where(~blank), ["query", group], order, per_group, "k").drop("k")
+    return head_per_group(few.unionByName(scores.where(blank)), ["query"], order, limit)

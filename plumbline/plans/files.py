@@ -51,7 +51,9 @@ def snk_07_export(spark, d):
 QUERIES = {k: v for k, v in list(globals().items()) if k.startswith(("src_", "snk_"))}
 _E = "e AS MATERIALIZED (SELECT DISTINCT a.l_partkey AS src, b.l_partkey AS dst FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1 WHERE a.l_partkey <> b.l_partkey)"
 _DOI = r"regexp_replace(lower(regexp_extract(coalesce(doi, ''), '(10\.\d{4,9}/\S+)', 1)), '[\)\]\.,;:\"'']+$', '')"
+_PAGE = r"trim(regexp_replace(replace(replace(regexp_replace(replace(replace(replace(replace(replace(replace(trim(regexp_replace(regexp_replace(abstract, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', ''), '&#39;', ''), '&amp;', '&'), '<[^>]+>', ' ', 'g'), chr(34), ''), chr(39), ''), '\s+', ' ', 'g'))"
 ORACLE = {
+    "src_20_pages": f"SELECT record_id AS id, 'citation_abstract' AS name, length({_PAGE}) AS n FROM scored_papers WHERE abstract IS NOT NULL AND length({_PAGE}) >= 120",
     "src_07_latest": "SELECT canonical_paper_id, row_id AS latest_row FROM core_corpus_tracked QUALIFY row_number() OVER (PARTITION BY canonical_paper_id ORDER BY scored_at DESC NULLS LAST, row_id) = 1",
     "src_23_roundtrip": f"WITH {_E} SELECT src, dst FROM e",
     "snk_05_graphml": f"WITH {_E}, v AS (SELECT src AS id FROM e UNION SELECT dst FROM e) SELECT 0 AS part, 1 AS lines, length('<?xml version=\"1.0\" encoding=\"UTF-8\"?><graphml xmlns=\"http://graphml.graphdrawing.org/xmlns\"><graph edgedefault=\"directed\">') AS longest UNION ALL SELECT 1, count(*), max(length('<node id=\"' || id || '\"/>')) FROM v UNION ALL SELECT 2, count(*), max(length('<edge source=\"' || src || '\" target=\"' || dst || '\"/>')) FROM e UNION ALL SELECT 3, 1, 18",

@@ -136,7 +136,7 @@ def gra_28_components(spark, d):
     s = table(spark, d, "scored_papers")
     from plumbline.functions.text import split_list
 
-    ids = s.select("record_id", F.explode(F.transform(split_list(F.col("all_openalex_ids")), lambda x: F.element_at(F.split(x, "/"), -1))).alias("w")).where(F.col("w").rlike("^W[0-9]{11}$"))
+    ids = s.select("record_id", F.explode(F.transform(split_list(F.col("all_openalex_ids")), lambda x: F.element_at(F.split(x, "/"), -1))).alias("w")).where(F.col("w").rlike(r"^W[0-9]{11}\z"))
     first = ids.groupBy("w").agg(F.min("record_id").alias("dst"))
     return G.components(ids.join(first, "w").select(F.col("record_id").alias("src"), "dst"))
 
@@ -181,6 +181,8 @@ def _pairs_sql(m: str, g: str, least: int, t: str, where: str = "") -> str:
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.startswith(("gra_", "agg_30"))}
 ORACLE = {
+    "gra_04_cores": f"WITH RECURSIVE {_E}, {_U}, {_ALL}, r(id, core) USING KEY (id) AS (SELECT src AS id, count(*) AS core FROM u GROUP BY src UNION SELECT id, new FROM (SELECT x.src AS id, max(least(i, c)) AS new, any_value(own) AS own FROM (SELECT u.src, b.core AS c, a.core AS own, row_number() OVER (PARTITION BY u.src ORDER BY b.core DESC) AS i FROM u JOIN recurring.r a ON a.id = u.src JOIN recurring.r b ON b.id = u.dst WHERE EXISTS (SELECT 1 FROM r)) x GROUP BY x.src) WHERE new < own) SELECT v.id, coalesce(core, 0) AS core FROM v LEFT JOIN r USING (id)",
+    "gra_28_components": f"WITH RECURSIVE ids AS (SELECT record_id, string_split(trim(unnest(string_split(coalesce(all_openalex_ids, ''), ';')), ' '), '/')[-1] AS w FROM scored_papers), k AS MATERIALIZED (SELECT DISTINCT record_id AS id, w FROM ids WHERE regexp_full_match(w, 'W[0-9]{{11}}')), l AS MATERIALIZED (SELECT DISTINCT a.id AS x, b.id AS y FROM k a JOIN k b USING (w)), r(id, c) USING KEY (id) AS (SELECT DISTINCT id, id AS c FROM k UNION SELECT y, min(n) FROM (SELECT l.y, r.c AS n, o.c AS own FROM r JOIN l ON l.x = r.id JOIN recurring.r o ON o.id = l.y) WHERE n < own GROUP BY y) SELECT id, c AS component FROM r",
     "gra_01_edges": f"WITH {_E} SELECT src, dst FROM e",
     "gra_02_pagerank": _pagerank_sql(40),
     "gra_03_degrees": f"WITH {_E}, {_ALL}, x AS (SELECT src AS id, 1 AS o, 0 AS i FROM e UNION ALL SELECT dst, 0, 1 FROM e UNION ALL SELECT id, 0, 0 FROM v) SELECT id, sum(i) AS in_degree, sum(o) AS out_degree, sum(i + o) AS degree FROM x GROUP BY id",

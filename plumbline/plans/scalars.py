@@ -218,6 +218,7 @@ _DOI = r"regexp_replace(lower(regexp_extract(coalesce({0}, ''), '(10\.\d{{4,9}}/
 _HITS = lambda terms: " + ".join(f"contains(lower(coalesce(text, '')), '{t}')::INT" for t in terms)
 QUERIES = {k: v for k, v in list(globals().items()) if k[:4] in ("prj_", "flt_", "str_", "mth_", "arr_")}
 ORACLE = {
+    "str_16_sentences": r"WITH s AS (SELECT doc_id, list_filter(list_transform(string_split_regex(regexp_replace(coalesce(text, ''), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda s: trim(s, ' ')), lambda s: s <> '') AS l FROM documents) SELECT doc_id, len(l) AS sentences, coalesce(l[1], '') AS first FROM s",
     "prj_03_flags": "SELECT row_id, coalesce(list_contains(list_transform(string_split(all_channels, ';'), lambda x: trim(x)), 'seed_resolution'), false)::INT AS is_seed, coalesce(contains(all_channels, 'seed_'), false)::INT AS seed_like, coalesce(regexp_matches(all_channels, 'lexical|dataset'), false) AS found FROM core_corpus_tracked",
     "prj_04_weighted": "SELECT row_id, round(3 * {} + 2 * {} + 1.5 * ln(1 + {}) + 0.5 * {}, 6) AS score FROM core_corpus_tracked".format(*(f"coalesce(CASE WHEN isnan({c}::DOUBLE) THEN 0 ELSE {c} END, 0)" for c in ("score_total", "paper_importance_score", "citations_per_year_raw", "evidence_strength"))),
     "prj_07_rate": "SELECT _ord, greatest(1, 2026 - coalesce(publication_year, 2026) + 1) AS age, round(coalesce(cited_by_count, 0) / greatest(1, 2026 - coalesce(publication_year, 2026) + 1), 6) AS rate FROM candidate_papers",
