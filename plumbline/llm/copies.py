@@ -126,7 +126,8 @@ def copy_heads(df: DataFrame, key: Column, ident: str, partitions: int | None =
     """
     spark = df.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.select(key.alias("key"), col(ident).cast("bigint").alias("id")).where("key is not null and id is not null")
+    # keys are worked out once: ranges are found by a pass of their own over what is written here
+    keyed = cut(df.select(key.alias("key"), col(ident).cast("bigint").alias("id")).where("key is not null and id is not null"))
     runs = cut(keyed.repartitionByRange(partitions, "key", "id").sortWithinPartitions("key", "id").mapInArrow(_scan, "id bigint, head bigint, outer string"))
     whole = runs.where("outer is not null").groupBy("outer").agg(F.min("head").alias("first"))
     return runs.join(whole, "outer", "left").select("id", F.coalesce("first", "head").alias("head"))

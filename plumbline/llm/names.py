@@ -134,8 +134,7 @@ def split_authors(text: str | None) -> list[str]:
     s, _ = _et_al(text.strip())
     for mark in (r"\s*;\s*", r"\s*\|\s*", r"\s+&\s+", r"\s+and\s+"):
         if re.search(mark, s):
-            parts = [p for x in re.split(mark, s) for p in ([x] if mark != r"\s+and\s+" else [x])]
-            return [p.strip() for p in parts if p.strip() and not re.fullmatch(r"(?i)et\.?\s+al\.?|nan", p.strip())]
+            return [p.strip() for p in re.split(mark, s) if p.strip() and not re.fullmatch(r"(?i)et\.?\s+al\.?|nan", p.strip())]
     parts = [p.strip() for p in s.split(",") if p.strip()]
     # "Surname AB, Surname C" is a list; "Surname, Given" is one name
     listed = [bool(re.search(r"\S\s+(?:[^\W\d_]\.?\s?-?){1,3}$", p)) and p[-1:].upper() == p[-1:] for p in parts]
