@@ -22,7 +22,8 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -38,6 +39,7 @@ from plumbline.session import cut
 _LEET = str.maketrans("013457$@!|", "oleastsail")
 _LEET_I = str.maketrans("013457$@!|", "oieastsaii")
 _APART = re.compile(r"(?<![^\W\d_])(?:[^\W\d_](?:[ .·_\-])){2,}[^\W\d_](?![^\W\d_])")
+_MAYBE_APART = re.compile(r"[ .·_\-][^\W\d_][ .·_\-][^\W\d_](?:[ .·_\-]|$|\W)|^[^\W\d_][ .·_\-][^\W\d_][ .·_\-]|\W[^\W\d_][ .·_\-][^\W\d_][ .·_\-]")
 _CHUNK = re.compile(r"[^\s,;:?\"“”„«»()\[\]{}<>…–—/]+")
 _PLAIN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 _STRETCHED = re.compile(r"([^\W\d_])\1{2,}")
@@ -48,16 +50,25 @@ def _joined(m: re.Match) -> str:
     return re.sub(r"[ .·_\-]", "", m.group())
 
 
-@dataclass
+class _Memo(dict):
+    """What has been read of a piece before."""
+
+    def __init__(self, read: Callable[[str], list[int]]):
+        self.read = read
+
+    def __missing__(self, raw: str) -> list[int]:
+        out = self[raw] = self.read(raw)
+        return out
+
+
 class Reader:
     """Words to embedding rows: a hash for the words of the vocabulary, shared rows for all others."""
 
-    vocabulary: frozenset[str]
-    rows: int
-    memo: dict = field(default_factory=dict, repr=False)
+    def __init__(self, vocabulary: frozenset[str], rows: int):
+        self.vocabulary, self.rows, self.memo = vocabulary, rows, _Memo(self.chunk)
 
-    def __getstate__(self):
-        return {"vocabulary": self.vocabulary, "rows": self.rows, "memo": {}}
+    def __reduce__(self):
+        return Reader, (self.vocabulary, self.rows)
 
     def row(self, word: str) -> int:
         return _FIRST + hash_word(word) % (self.rows - _FIRST)
@@ -70,6 +81,8 @@ class Reader:
             return []
         if bare in self.vocabulary:
             return [self.row(bare)]
+        if bare.isalpha() and word[0] not in "$@" and not _STRETCHED.search(bare):
+            return [1]  # nothing is hidden in plain letters
         hidden = self.uncover(bare if not word.startswith("$") and not word.startswith("@") else word.strip(".!'’"))
         if hidden is not None:
             return [self.row(hidden)]
@@ -117,16 +130,13 @@ class Reader:
     def read(self, text: str | None) -> list[int]:
         if not text:
             return []
-        text = _APART.sub(_joined, unicodedata.normalize("NFKC", text))
-        out, memo = [], self.memo
-        for raw in _CHUNK.findall(text):
-            rows = memo.get(raw)
-            if rows is None:
-                if len(memo) > 200_000:
-                    memo.clear()
-                rows = memo[raw] = self.chunk(raw)
-            out += rows
-        return out
+        if not text.isascii():
+            text = unicodedata.normalize("NFKC", text)
+        if _MAYBE_APART.search(text):
+            text = _APART.sub(_joined, text)
+        if len(self.memo) > 200_000:
+            self.memo.clear()
+        return list(chain.from_iterable(map(self.memo.__getitem__, _CHUNK.findall(text))))
 
 
 def hash_word(word: str) -> int:
