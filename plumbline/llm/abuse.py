@@ -8,8 +8,9 @@ training. What counts is how far the evidence moves the odds from the rate of po
 with few labels, move no odds and remove no label.
 
 A threshold for each language is chosen after all documents are scored. Labelled documents are no random sample, so held-
-out scores of the labels, each counted by the probability that it is right, give the rates at which positive and negative
-documents pass a threshold, and the numbers of all documents that pass it give the share of positive ones.
+out scores of all labels, from nets trained without the doubtful ones, each counted by the probability that it is right,
+give the rates at which positive and negative documents pass a threshold, and the numbers of all documents that pass it
+give the share of positive ones.
 
 Spellings meant to hide a word (leetspeak, asterisks, letters set apart, stretched letters) are undone where that gives
 a word of the vocabulary. Rare words, numbers and codes share embeddings, so nothing is learnt by heart from them.
@@ -350,13 +351,19 @@ class Classifier:
         return out, best_threshold(self.held, self.likely, total)
 
 
-def best_threshold(held: np.ndarray, likely: np.ndarray, passing: np.ndarray, slack: float = 0.004) -> float:
-    """The threshold with the best expected F1 over all documents: the middle of all that are as good to ``slack``."""
+def best_threshold(held: np.ndarray, likely: np.ndarray, passing: np.ndarray, slack: float = 0.02) -> float:
+    """The threshold with the best expected F1 over all documents: the middle of all that are as good to ``slack``.
+
+    The share of positive documents is the median of what thresholds tell that few negative labels pass, but half of the
+    positive ones.
+    """
     pass_rate = lambda w: np.array([w[held >= g].sum() for g in GRID]) / max(w.sum(), 1e-9)
     right, wrong, share = pass_rate(likely), pass_rate(1 - likely), passing / max(passing[0], 1)
-    k = int(np.argmax(right - wrong))
-    positive = np.clip((share[k] - wrong[k]) / max(right[k] - wrong[k], 1e-6), 1e-4, 1)
-    f1 = 2 * np.minimum(positive * right, share) / (share + positive)
+    last = int(np.flatnonzero(right >= min(0.5, right.max()))[-1])
+    told = slice(min(last, len(GRID) // 2), last + 1)
+    positive = np.median((share[told] - wrong[told]) / np.maximum(right[told] - wrong[told], 1e-6))
+    positive = np.clip(positive, share[last] / 10, 1)
+    f1 = 2 * np.minimum(positive * right, share) / np.maximum(share + positive, 1e-12)
     return float(GRID[int(np.flatnonzero(f1 >= f1.max() - slack).mean())])
 
 
@@ -410,7 +417,9 @@ def in_tasks(spark: SparkSession) -> Callable[[Sequence[Callable[[], object]]],
                 done = [pickle.dumps(jobs[k]()) for k in b.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(done, pa.binary())], ["k", "out"])
 
-        rows = spark.range(0, len(jobs), 1, max(1, len(jobs))).mapInArrow(run, "k bigint, out binary").collect()
+        if not jobs:
+            return []
+        rows = spark.range(0, len(jobs), 1, len(jobs)).mapInArrow(run, "k bigint, out binary").collect()
         return [pickle.loads(r["out"]) for r in sorted(rows, key=lambda r: r["k"])]
 
     return run_all
@@ -430,18 +439,24 @@ def fit(texts: Sequence[str], votes: np.ndarray, languages: Sequence[str], p: Cn
         rng = np.random.default_rng([p.seed, seed])
         return Cnn(p, rng).train([read[i] for i in into], target[into], np.ones(len(into), np.float32), rng)
 
-    def held_out(k: int) -> np.ndarray:
-        net = train(k, np.flatnonzero(fold != k))
+    def held_out(k: int, seed: int, allowed: np.ndarray) -> np.ndarray:
+        net = train(seed, np.flatnonzero((fold != k) & allowed))
         return 1 / (1 + np.exp(-net.score([read[i] for i in np.flatnonzero(fold == k)])))
 
+    def round_of(seed: int, allowed: np.ndarray) -> list[Callable]:
+        return [lambda k=k: held_out(k, seed + k, allowed) for k in range(folds)] if folds > 1 else []
+
     held = np.full(len(read), 0.5)
-    if folds > 1:
-        for k, scores in enumerate(run_all([lambda k=k: held_out(k) for k in range(folds)])):
-            held[fold == k] = scores
-    kept = np.flatnonzero(~doubtful_labels(held, target, p))
-    nets = run_all([lambda k=k: train(1000 + k, kept) for k in range(p.nets)])
+    for k, scores in enumerate(run_all(round_of(0, np.ones(len(read), bool)))):
+        held[fold == k] = scores
+    kept = ~doubtful_labels(held, target, p)
+    # once more without the doubtful labels, beside the nets that stay: these scores are of nets like those
+    again = round_of(500, kept)
+    done = run_all([*again, *[lambda k=k: train(1000 + k, np.flatnonzero(kept)) for k in range(p.nets)]])
+    for k, scores in enumerate(done[: len(again)]):
+        held[fold == k] = scores
     likely = 1 / (1 + np.exp(-true_odds(held, target, p.wrong_labels)[1]))
-    return Classifier(reader, nets, held, likely, list(languages))
+    return Classifier(reader, done[len(again) :], held, likely, list(languages))
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, doc_id: str, text: str, lang: str, vote: str, p: CnnParams) -> pd.DataFrame:
