@@ -27,7 +27,7 @@ def is_missing(c: Column) -> Column:
 
 
 def present(c: Column) -> Column:
-    """The text, or NULL where it is missing."""
+    """STR-04: the text, or NULL where it is missing."""
     return F.when(~is_missing(c), c)
 
 

@@ -12,7 +12,7 @@ from plumbline.session import cut
 
 
 def candidate_links(df: DataFrame, threshold: float = 85.0, max_year_delta: int = 2, least_words: int = 4) -> DataFrame:
-    """DED-01, DED-03: all links ``i < j`` between records of one block that match.
+    """DED-01, DED-03, JON-15: all links ``i < j`` between records of one block that match.
 
     ``df``: ord, doi, title, year, author. Same DOI always matches. Fuzzy matches compare distinct (author, title, year)
     within an author's block. Years may be missing. Every pair of a block stands in the result; ``resolve_records`` gets
