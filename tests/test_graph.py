@@ -136,3 +136,28 @@ def test_vertices_without_edges(spark):
     assert {r.id: r.generation for r in G.generations(e, nodes).collect()} == {"A": 0, "B": 1, "C": 1, "Z": 0}
     assert {r.id: r.component for r in G.components(e, nodes).collect()} == {"A": "A", "B": "A", "C": "A", "Z": "Z"}
     assert {r.id: r.betweenness for r in G.betweenness(e, nodes=nodes).collect()}["Z"] == 0
+
+
+def test_betweenness_held_and_by_joins(spark, monkeypatch):
+    from plumbline.operators import held
+
+    pairs = _random(60, 200, 7)
+    of = lambda **k: {r.id: r.betweenness for r in G.betweenness(_edges(spark, pairs), pivots=25, **k).collect()}
+    want = of(most_edges=0)
+    assert of() == pytest.approx(want)
+    begin, sizes, dst = G.held.np.array([0, 2, 3, 4]), G.held.np.array([2, 1, 1, 0]), G.held.np.array([1, 2, 3, 3])
+    monkeypatch.setattr(held, "_AT_ONCE", 1)  # edges come in several pieces
+    n = 4
+    dist, paths, dep, into = G.held.np.full(n, -1), *(G.held.np.zeros(n) for _ in range(3))
+    held._dependencies((begin, sizes, dst), 0, dist, paths, dep, into)
+    assert into.tolist() == [0, 0.5, 0.5, 0] and (dist == -1).all() and not paths.any() and not dep.any()
+
+
+def test_betweenness_of_a_graph_with_many_vertices_is_one_job_over_pivots(spark):
+    n = 6000  # above 5,000, a path: a level for each vertex
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("path", "path")
+    got = {r.id: r.betweenness for r in G.betweenness(_edges(spark, [(i, i + 1) for i in range(n - 1)]), pivots=3).collect()}
+    ran = len(jobs.getJobIdsForGroup("path"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(got) == n and max(got.values()) > 0 and ran < 60
