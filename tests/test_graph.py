@@ -161,3 +161,12 @@ def test_betweenness_of_a_graph_with_many_vertices_is_one_job_over_pivots(spark)
     ran = len(jobs.getJobIdsForGroup("path"))
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(got) == n and max(got.values()) > 0 and ran < 60
+
+
+def test_cores_on_arrays_and_by_joins(spark):
+    pairs = _random(20, 60, 3) + [(200, i) for i in range(20)] + [(300 + i, 301 + i) for i in range(4)]  # a hub and a path
+    nodes = spark.createDataFrame([(999,), (5,), (None,)], "id long")
+    of = lambda **k: {r.id: r.core for r in G.core_numbers(_edges(spark, pairs), nodes, **k).collect()}
+    got = of()
+    assert got == of(most_vertices=0) and got[999] == 0 and got[302] == 1
+    assert G.core_numbers(_edges(spark, [(1, 2)]).limit(0)).count() == 0
