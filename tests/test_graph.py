@@ -170,3 +170,11 @@ def test_cores_on_arrays_and_by_joins(spark):
     got = of()
     assert got == of(most_vertices=0) and got[999] == 0 and got[302] == 1
     assert G.core_numbers(_edges(spark, [(1, 2)]).limit(0)).count() == 0
+
+
+def test_communities_on_arrays_and_by_joins(spark):
+    pairs = [(1, 2), (2, 3), (1, 3), (3, 4), (4, 5), (5, 6), (4, 6)]
+    nodes = spark.createDataFrame([(99,)], "id long")
+    of = lambda **k: {r.id: r.community for r in G.communities(_edges(spark, pairs), nodes, **k).collect()}
+    got = of()
+    assert got == of(most_vertices=0) and got[99] == 99 and len(set(got.values())) < len(got)
