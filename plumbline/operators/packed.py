@@ -290,7 +290,7 @@ def _log_sum(a: float, b: float) -> float:
 
 
 def learn_values(
-    df: DataFrame, field: str, spec: PackedSpec = NAMES, rounds: int = 20, min_share: float = 1e-6, least_cohesion: float = 0.9, least_surroundings: int = 8, most_spans: int = 1_000_000
+    df: DataFrame, field: str, spec: PackedSpec = NAMES, rounds: int = 20, min_share: float = 1e-6, least_cohesion: float = 0.9, least_surroundings: int = 8
 ) -> ValueModel:
     """Learn the value frequencies of a whole column.
 
@@ -300,14 +300,15 @@ def learn_values(
     surroundings. Where nothing is a hypothesis every lattice has a single path, and nothing is left to learn.
 
     Rounds of EM work on the distinct ambiguous stretches only; all other values are counted once. They stop when the
-    log likelihood changes by less than one in 10,000, or after ``rounds``. The model keeps pieces that make up at least
-    ``min_share`` of all values (rarer ones have the frequency of unseen ones) and at most ``most_spans`` spans, those
-    with most evidence, so what reaches the driver and the tasks is bounded, whatever the size of the table.
+    log likelihood changes by less than one in 10,000, or after ``rounds``. The model keeps all spans and all pieces of
+    ambiguous stretches; of other pieces, which decide nothing in this column, those that make up at least ``min_share``
+    of all values. What reaches the driver and the tasks thus grows with the number of different spans and pieces that
+    are open, not with the rows.
     """
     if not spec.lattice:
         return EMPTY_MODEL
     fields = cut(df.select(col(field).cast("string").alias("text")).where(F.col("text").isNotNull()).groupBy("text").agg(F.count(F.lit(1)).alias("n")))
-    spans = _hypotheses(fields, spec, least_cohesion, least_surroundings, most_spans)
+    spans = _hypotheses(fields, spec, least_cohesion, least_surroundings)
     if not spans.values and not spans.joins:
         return EMPTY_MODEL
     sorted_out = cut(fields.mapInArrow(_sort_out(spec, spans), "ambiguous boolean, value string, n double").groupBy("ambiguous", "value").agg(F.sum("n").alias("n")))
@@ -316,7 +317,8 @@ def learn_values(
     for step in range(rounds):
         used = cut(open_.mapInArrow(_e_step(spans, model), "value string, n double").groupBy("value").agg(F.sum("n").alias("n")))
         likelihood = used.where("value is null").agg(F.sum("n")).first()[0]
-        counts = cut(sure.unionByName(used.where("value is not null")).groupBy("value").agg(F.sum("n").alias("n")))
+        parts = sure.withColumn("open", F.lit(False)).unionByName(used.where("value is not null").withColumn("open", F.lit(True)))
+        counts = cut(parts.groupBy("value").agg(F.sum("n").alias("n"), F.max("open").alias("open")))
         model = _model_of(counts, spec, spans, min_share)
         if likelihood is None or (before is not None and abs(likelihood - before) <= 1e-4 * abs(before)):
             break
@@ -325,7 +327,7 @@ def learn_values(
     return ValueModel(model.logp, Spans(values, frozenset(), max((pieces_of(v, spec) for v in values), default=1)))
 
 
-def _hypotheses(fields: DataFrame, spec: PackedSpec, least_cohesion: float, least_surroundings: int, most: int) -> Spans:
+def _hypotheses(fields: DataFrame, spec: PackedSpec, least_cohesion: float, least_surroundings: int) -> Spans:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen: dict[tuple, int] = {}
@@ -337,12 +339,12 @@ def _hypotheses(fields: DataFrame, spec: PackedSpec, least_cohesion: float, leas
 
     seen = fields.select("text").mapInArrow(run, "kind string, a string, mark string, b string, around bigint, n bigint")
     counts = cut(seen.groupBy("kind", "a", "mark", "b").agg(F.sum("n").alias("n"), F.approx_count_distinct("around").alias("surroundings")))
-    whole = [r[0] for r in counts.where("kind = 'v'").orderBy(F.desc("n"), "a").limit(most).select("a").collect()]
+    whole = [r[0] for r in counts.where("kind = 'v'").select("a").collect()]
     uses = counts.where("kind = 'p'").select(F.col("a").alias("piece"), F.col("n").alias("uses"))
     pairs = counts.where((F.col("kind") == "j") & (F.col("surroundings") >= least_surroundings)).select("a", "mark", "b", "n")
     of = lambda c: uses.select(F.col("piece").alias(c), F.col("uses").alias(f"uses_{c}"))
     joins = pairs.join(of("a"), "a").join(of("b"), "b").where(F.col("n") >= least_cohesion * F.greatest("uses_a", "uses_b"))
-    chains = [tuple(r) for r in joins.orderBy(F.desc("n"), "a", "mark", "b").limit(most).select("a", "mark", "b").collect()]
+    chains = [tuple(r) for r in joins.select("a", "mark", "b").collect()]
     return Spans(frozenset(whole), frozenset(chains), max((pieces_of(v, spec) for v in whole), default=1))
 
 
@@ -386,7 +388,7 @@ def _model_of(counts: DataFrame, spec: PackedSpec, spans: Spans, min_share: floa
     """M-step. A span that is left with less than half a use is given up."""
     marks = F.col("value").rlike("[" + "".join(re.escape(c) for c in spec.soft) + "]")
     total = counts.agg(F.sum("n")).first()[0] or 0.0
-    rows = counts.where((marks & (F.col("n") >= 0.5)) | (~marks & (F.col("n") >= total * min_share))).collect()
+    rows = counts.where((marks & (F.col("n") >= 0.5)) | (~marks & (F.col("open") | (F.col("n") >= total * min_share)))).collect()
     logp = {r[0]: math.log(r[1] / total) for r in rows}
     return ValueModel(logp, spans, math.log(min(1e-9, 0.5 / max(total, 1.0))))
 

@@ -76,6 +76,14 @@ def test_learning_uses_the_whole_column(spark):
     assert [(r.pos, r.item) for r in got] == [(1, "Red, dark"), (2, "Blue")]
 
 
+def test_rare_pieces_of_ambiguous_stretches_keep_their_frequency(spark):
+    rows = [(i, '"Red, dark"') for i in range(40)] + [(100 + i, "Blue") for i in range(40)] + [(200, "Red, dark,Blue")]
+    df = spark.createDataFrame(rows, "id bigint, f string")
+    some, all_ = learn_values(df, "f", min_share=0.9), learn_values(df, "f", min_share=0.0)
+    assert some.logp["Blue"] == pytest.approx(all_.logp["Blue"])
+    assert some.spans.values == all_.spans.values == {"Red, dark"}
+
+
 def test_frames(spark):
     df = spark.createDataFrame([(1, "a;b", "x"), (1, "a;b", "y"), (2, "z" * 100_000 + ";q", "x")], "id bigint, `row_key` string, item string")
     out = split_packed(df, "id", "row_key")
